@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from lociflow.llm.fusion import retained_values, source_quality, survivors
 from lociflow.llm.matching import match_drugs
+from lociflow.llm.mixing import mix
 from lociflow.llm.percentiles import merge_states, percentiles, value_state
+from lociflow.llm.spam import find_spam, spam_scores
+from lociflow.llm.tokens import encode_documents, token_counts
 from lociflow.session import table
 
 
@@ -53,5 +56,36 @@ def p5_daily(spark: SparkSession, d: str) -> DataFrame:
     return percentiles(merge_states(days), (0.5,)).select(F.col("grp").alias("study_id"), "n", F.round("value", 12).alias("median_p"))
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p5_percentiles, p5_daily)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every whole text."""
+    return encode_documents(table(spark, d, "documents"))
+
+
+def p7_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Number of tokens of every whole text."""
+    return token_counts(table(spark, d, "documents"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mixed corpus: one row per document and copy."""
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and reached share of every source."""
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of strung-together keywords, links or product tags."""
+    return find_spam(table(spark, d, "documents"))
+
+
+def p9_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Coherence and spam share of every document."""
+    scores = spam_scores(table(spark, d, "documents"))
+    return scores.select("doc_id", "n_pairs", *[F.round(c, 4).alias(c) for c in ("pmi", "incoherent", "repeated", "spam_share")], "suspected", "spam")
+
+
+QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p5_percentiles, p5_daily, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_scores)}
 SQL: dict[str, str] = {}
