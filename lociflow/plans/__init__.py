@@ -1 +1,10 @@
 """Registered queries with their equivalent SQL."""
+
+from lociflow.plans import problems
+
+_MODULES = (problems,)
+
+#: name -> query(spark, folder of the tables)
+REGISTRY = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+#: name -> equivalent SQL
+ORACLES = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
