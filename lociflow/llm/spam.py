@@ -68,6 +68,8 @@ class SpamModel:
 
 
 CHUNK = 1 << 20
+#: Binary logarithm of the number of sketch cells that are gathered in one row.
+BLOCK = 14
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("a"), ord("z") + 1), ord("'"), *range(128, 256)]] = True
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)], np.uint64)
@@ -121,7 +123,8 @@ def corpus_counts(documents: DataFrame, model: SpamModel = SpamModel(), text: st
     """(word sketch, pair sketch, number of words) over all documents.
 
     Each task adds up sketches of a fixed size and emits their non-zero cells; Spark sums the
-    cells. The driver gets 2 * (2**words + 2**pairs) numbers at most, whatever the corpus.
+    cells block by block and packs every block into one row of bytes. The driver gets
+    2 * (2**words + 2**pairs) numbers of 8 bytes, whatever the corpus.
     """
     sizes = ((0, model.words), (1, model.pairs))
 
@@ -139,16 +142,23 @@ def corpus_counts(documents: DataFrame, model: SpamModel = SpamModel(), text: st
             hit = np.flatnonzero(flat)
             for i in range(0, len(hit), 1 << 17):
                 part = hit[i : i + (1 << 17)]
-                yield pd.DataFrame({"cell": part + (k << 40), "n": flat[part]})
-
-    sums = documents.select(text).mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    cell, n = sums["cell"].to_numpy(np.int64), sums["n"].to_numpy(np.int64)
-    out = []
-    for k, width in sizes:
-        flat = np.zeros(2 << width, np.int64)
-        mine = (cell >> 40) == k
-        flat[cell[mine] & ((1 << 40) - 1)] = n[mine]
-        out.append(flat.reshape(2, -1))
+                cell = part + (k << 40)
+                yield pd.DataFrame({"block": cell >> BLOCK, "cell": cell, "n": flat[part]})
+
+    def pack(block: pd.DataFrame) -> pd.DataFrame:
+        cells = np.zeros(1 << BLOCK, np.int64)
+        cells[block["cell"].to_numpy() & ((1 << BLOCK) - 1)] = block["n"].to_numpy()
+        return pd.DataFrame({"block": block["block"].iloc[:1], "cells": [cells.tobytes()]})
+
+    counted = documents.select(text).mapInPandas(count, "block long, cell long, n long")
+    # cells of one block go to one place once; summing and packing need no further shuffle
+    summed = counted.repartition("block").groupBy("block", "cell").agg(F.sum("n").alias("n"))
+    blocks = summed.groupBy("block").applyInPandas(pack, "block long, cells binary").toPandas()
+    out = [np.zeros(2 << width, np.int64) for _, width in sizes]
+    for block, cells in zip(blocks["block"], blocks["cells"], strict=True):
+        kind, first = block >> (40 - BLOCK), (block & ((1 << (40 - BLOCK)) - 1)) << BLOCK
+        out[kind][first : first + (1 << BLOCK)] = np.frombuffer(cells, np.int64)[: len(out[kind]) - first]
+    out = [flat.reshape(2, -1) for flat in out]
     return out[0], out[1], int(out[0][0].sum())
 
 
