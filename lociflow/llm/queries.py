@@ -45,15 +45,22 @@ def p3_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles of the valid p values of every study."""
-    state = value_state(table(spark, d, "gwas_variants"), "study_id", "p")
-    return percentiles(state).select(F.col("grp").alias("study_id"), "q", "n", F.round("value", 12).alias("p_value"), F.round(-F.log10(F.when(F.col("value") > 0, F.col("value"))), 6).alias("neglog10_p"))
+    """Percentiles of the valid p values of every study and batch date, and (batch_date null) of every study.
 
-
-def p5_daily(spark: SparkSession, d: str) -> DataFrame:
-    """The same from the states of single batch dates, combined by adding counts."""
+    The whole study's come from its days' states, added up; all are read from one sort.
+    """
     days = value_state(table(spark, d, "gwas_variants"), "study_id", "p", "batch_date")
-    return percentiles(merge_states(days), (0.5,)).select(F.col("grp").alias("study_id"), "n", F.round("value", 12).alias("median_p"))
+    name = lambda *fields: F.to_json(F.struct(*fields)).alias("grp")
+    daily = days.select(name(F.col("grp").alias("s"), F.col("day").cast("string").alias("d")), "value", "n")
+    whole = merge_states(days).select(name(F.col("grp").alias("s")), "value", "n")
+    found = percentiles(daily.unionByName(whole)).withColumn("g", F.from_json("grp", "s string, d string"))
+    digits = F.round(-F.log10(F.when(F.col("value") > 0, F.col("value"))), 6)
+    return found.select(F.col("g.s").alias("study_id"), F.col("g.d").alias("batch_date"), "q", "n", F.round("value", 9).alias("p_value"), digits.alias("neglog10_p"))
+
+
+def p5_medians(spark: SparkSession, d: str) -> DataFrame:
+    """The median of every study's valid p values."""
+    return percentiles(value_state(table(spark, d, "gwas_variants"), "study_id", "p"), (0.5,)).select(F.col("grp").alias("study_id"), "n", F.round("value", 12).alias("median_p"))
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -87,5 +94,37 @@ def p9_scores(spark: SparkSession, d: str) -> DataFrame:
     return scores.select("doc_id", "n_pairs", *[F.round(c, 4).alias(c) for c in ("pmi", "incoherent", "repeated", "spam_share")], "suspected", "spam")
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p5_percentiles, p5_daily, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_scores)}
-SQL: dict[str, str] = {}
+QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p5_percentiles, p5_medians, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_scores)}
+_VALID_P = "p IS NOT NULL AND NOT isnan(p) AND p BETWEEN 0 AND 1"
+_AT = "[0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]"
+
+SQL: dict[str, str] = {
+    "p1_found": """
+        WITH named AS (
+          SELECT record_id, upper(trim(drug_chembl_id)) AS drug, upper(trim(gene_symbol)) AS gene, updated_at,
+                 CASE WHEN upper(trim(confidence)) IN ('HIGH', 'HI', 'H') THEN 1 WHEN upper(trim(confidence)) IN ('MEDIUM', 'MED', 'MED.', 'M') THEN 2
+                      WHEN upper(trim(confidence)) IN ('LOW', 'LO', 'L') THEN 3 ELSE 4 END AS conf,
+                 pchembl_value > 0 AND pchembl_value <= 15 AND NOT isnan(pchembl_value) AS real_p,
+                 upper(trim(mechanism_of_action)) NOT IN ('', '-', '--', 'NA', 'N/A', 'N.A.', 'NONE', 'NULL', 'NAN', 'UNKNOWN', 'UNSPECIFIED', 'NOT AVAILABLE', 'NOT KNOWN', 'N.D.', 'ND', 'TBD', '?', '.', 'MISSING', 'NIL') AS real_m,
+                 source
+          FROM drug_targets WHERE trim(drug_chembl_id) <> '' AND trim(gene_symbol) <> ''),
+        parts AS (SELECT record_id, lower(trim(unnest(string_split(source, ',')))) AS name FROM named),
+        trust AS (SELECT record_id, min(trust_rank) AS rank FROM parts JOIN drug_sources s ON s.source = parts.name GROUP BY record_id),
+        rows_ AS (SELECT n.*, t.rank, min(record_id) OVER g AS group_id, count(*) OVER g AS size
+                  FROM named n LEFT JOIN trust t USING (record_id) WINDOW g AS (PARTITION BY drug, gene)),
+        long AS (
+          SELECT *, 'confidence' AS field FROM rows_ WHERE conf < 4
+          UNION ALL SELECT *, 'source' FROM rows_ WHERE rank IS NOT NULL
+          UNION ALL SELECT *, 'pchembl_value' FROM rows_ WHERE real_p
+          UNION ALL SELECT *, 'mechanism_of_action' FROM rows_ WHERE real_m)
+        SELECT group_id, field, record_id FROM long WHERE size > 1
+        QUALIFY row_number() OVER (PARTITION BY group_id, field ORDER BY conf, rank NULLS LAST, updated_at DESC NULLS LAST, record_id) = 1""",
+    "p5_percentiles": f"""
+        WITH v AS (SELECT study_id, CAST(batch_date AS VARCHAR) AS batch_date, p FROM gwas_variants WHERE {_VALID_P}),
+        g AS (SELECT study_id, batch_date, count(*) AS n, quantile_cont(p, {_AT}) AS qs FROM v GROUP BY study_id, batch_date
+              UNION ALL SELECT study_id, NULL, count(*), quantile_cont(p, {_AT}) FROM v GROUP BY study_id),
+        u AS (SELECT study_id, batch_date, n, unnest({_AT}) AS q, unnest(qs) AS value FROM g)
+        SELECT study_id, batch_date, CAST(q AS DOUBLE) AS q, n, round(value, 9) AS p_value,
+               round(-log10(CASE WHEN value > 0 THEN value END), 6) AS neglog10_p FROM u""",
+    "p5_medians": f"SELECT study_id, count(*) AS n, round(quantile_cont(p, 0.5), 12) AS median_p FROM gwas_variants WHERE {_VALID_P} GROUP BY study_id",
+}
