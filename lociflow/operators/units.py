@@ -130,10 +130,14 @@ def harmonise_units(hits: DataFrame, studies: DataFrame, tie: float = 0.2) -> Da
     """
     about = studies.select("study_id", "has_or", "frequency_column_is").dropDuplicates(["study_id"])
     reports = hits.select("row_id", "study_id", "beta", "beta_note", "maf", "maf_note", "se", "p")
-    # studies are a small dimension but nothing is assumed: the optimiser broadcasts it if its measured size allows
-    rows = reports.join(about, "study_id", "left")
-    text, note = without_limits(F.lower(tidy(F.col("beta")))), F.lower(tidy(F.col("beta_note")))
-    rows = rows.withColumns({"b_text": effect_unit(text), "b_note": effect_unit(note), "b_number": effect_number(text), "b_told": is_reported(F.col("beta"))})
+    # a generator keeps the texts from being tidied and matched again by every expression that uses them
+    once = lambda df, **columns: df.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("x")).select(*df.columns, "x.*")
+    low = lambda c: F.lower(tidy(F.col(c)))
+    rows = once(reports, b=without_limits(low("beta")), bn=low("beta_note"), m=low("maf"), mn=low("maf_note"))
+    value, m_unit = frequency(F.col("m"), F.col("mn"))
+    rows = once(rows, b_text=effect_unit(F.col("b")), b_note=effect_unit(F.col("bn")), b_number=effect_number(F.col("b")), b_told=is_reported(F.col("beta")), m_value=value, m_unit=m_unit)
+    # studies are a dimension, but nothing is assumed of its size: the optimiser broadcasts it only if it is small
+    rows = rows.join(about, "study_id", "left")
     study_unit = F.when(F.col("has_or"), "odds_ratio").when(~F.col("has_or"), "ln")
     rows = rows.withColumn("b_known", F.coalesce("b_text", "b_note", study_unit))
     open_rows = rows.where(F.col("b_told") & F.col("b_known").isNull())
@@ -142,10 +146,8 @@ def harmonise_units(hits: DataFrame, studies: DataFrame, tie: float = 0.2) -> Da
     unit = F.coalesce("b_known", "inferred_unit")
     source = F.when(F.col("b_text").isNotNull(), "text").when(F.col("b_note").isNotNull(), "note").when(study_unit.isNotNull(), "study").when(F.col("inferred_unit").isNotNull(), "identity")
     ln_or = to_log_odds(F.col("b_number"), unit)
-    m_text, m_note = F.lower(tidy(F.col("maf"))), F.lower(tidy(F.col("maf_note")))
-    value, m_unit = frequency(m_text, m_note)
-    maf = F.least(value, 1 - value)
-    m_source = F.when(m_text.rlike(r"[a-z%‰=/:]"), "text").when(m_unit != "fraction", "note").otherwise("study")
+    maf = F.least("m_value", 1 - F.col("m_value"))
+    m_source = F.when(F.col("m").rlike(r"[a-z%‰=/:]"), "text").when(F.col("m_unit") != "fraction", "note").otherwise("study")
 
     def entry(field: str, raw: str, unit: Column, source: Column, value: Column, unique: Column, told: Column) -> Column:
         plain = F.when(is_plain(F.col(raw)), F.trim(F.col(raw)).try_cast("double"))
@@ -153,7 +155,7 @@ def harmonise_units(hits: DataFrame, studies: DataFrame, tie: float = 0.2) -> Da
         return F.when(told, F.struct(F.lit(field).alias("field"), F.col(raw).alias("raw"), unit.alias("unit"), source.alias("unit_from"), value.alias("value"), unique.alias("unique"), converted.alias("converted")))
 
     b_unique = F.col("b_known").isNotNull() | F.coalesce(F.col("unique"), F.lit(False))
-    both = F.array_compact(F.array(entry("beta", "beta", unit, source, ln_or, b_unique, F.col("b_told")), entry("maf", "maf", m_unit, m_source, maf, F.lit(True), is_reported(F.col("maf")))))
+    both = F.array_compact(F.array(entry("beta", "beta", unit, source, ln_or, b_unique, F.col("b_told")), entry("maf", "maf", F.col("m_unit"), m_source, maf, F.lit(True), is_reported(F.col("maf")))))
     return rows.select("row_id", F.explode(both).alias("e")).select("row_id", "e.*")
 
 
