@@ -4,7 +4,8 @@ The unit of a value is looked for in the value's own text, then in its note, the
 study says of the column. Where none of them tells, the unit is inferred from the identities among
 the columns of the study: an effect on the natural log scale, its standard error and its p value
 obey ``|beta| = se * z(p)``, and of the candidate units the one is taken whose log residual
-``ln |beta_u| - ln (se * z(p))`` is smallest over the study's unlabelled rows. Two candidates
+``ln |beta_u| - ln (se * z(p))`` is smallest over the study's unlabelled rows. The same is worked
+out for rows whose unit is stated, so that the statement can be held against the identity. Two candidates
 within ``tie`` of each other make the solution non-unique, which is flagged and not converted.
 """
 
@@ -102,29 +103,31 @@ def p_to_z(p: Column) -> Column:
 
 
 def inferred_units(rows: DataFrame, tie: float) -> DataFrame:
-    """Per study: the effect unit with the least mean log residual over rows whose unit nothing tells.
+    """Per study and stated unit: the effect unit with the least mean log residual over the rows.
 
-    ``rows``: study_id, number, se, p. Gives study_id, inferred_unit (null if not unique) and
-    unique. Aggregation is partial before the shuffle, one row a study and unit after it.
+    ``rows``: study_id, stated ('' where nothing tells the unit), number, se, p. Gives study_id,
+    stated, identity_unit (null if not unique) and unique. Aggregation is partial before the
+    shuffle, one row a study, stated unit and candidate after it.
     """
     sized = rows.where((F.col("se") > 0) & (F.col("p") > 0) & (F.col("p") <= 1) & F.col("number").isNotNull())
     expected = F.col("se") * p_to_z(F.col("p"))
-    each = sized.where(expected > 0).select("study_id", expected.alias("expected"), "number", F.explode(F.array(*map(F.lit, EFFECT_UNITS))).alias("unit"))
+    each = sized.where(expected > 0).select("study_id", "stated", expected.alias("expected"), "number", F.explode(F.array(*map(F.lit, EFFECT_UNITS))).alias("unit"))
     size = F.abs(to_log_odds(F.col("number"), F.col("unit")))
     residual = F.abs(F.ln(F.greatest(size, F.lit(1e-9))) - F.ln("expected"))
     # a unit in which some value has no meaning (a negative odds ratio) is no candidate
-    scored = each.groupBy("study_id", "unit").agg(F.avg(residual).alias("residual"), F.count_if(size.isNull()).alias("impossible")).where(F.col("impossible") == 0)
-    ranked = scored.groupBy("study_id").agg(F.array_sort(F.collect_list(F.struct("residual", "unit"))).alias("by"))
+    scored = each.groupBy("study_id", "stated", "unit").agg(F.avg(residual).alias("residual"), F.count_if(size.isNull()).alias("impossible")).where(F.col("impossible") == 0)
+    ranked = scored.groupBy("study_id", "stated").agg(F.array_sort(F.collect_list(F.struct("residual", "unit"))).alias("by"))
     unique = (F.size("by") == 1) | (F.try_element_at("by", F.lit(2))["residual"] - F.col("by")[0]["residual"] > tie)
-    return ranked.select("study_id", F.when(unique, F.col("by")[0]["unit"]).alias("inferred_unit"), unique.alias("unique"))
+    return ranked.select("study_id", "stated", F.when(unique, F.col("by")[0]["unit"]).alias("identity_unit"), unique.alias("unique"))
 
 
 def harmonise_units(hits: DataFrame, studies: DataFrame, tie: float = 0.2) -> DataFrame:
     """Every reported effect and frequency in the common unit.
 
     Gives one row per hit and field (``beta``, ``maf``) with a reported value: row_id, field, raw,
-    unit, unit_from (text, note, study, identity), value (natural log odds ratio, or minor allele
-    frequency), unique (false: several units fit and nothing tells which; value is then null) and
+    unit, unit_from (text, note, study, identity), identity_unit (the effect unit that fits the study's
+    rows of the same stated unit best, null if several do; a stated unit outweighs it), value
+    (natural log odds ratio, or minor allele frequency), unique (false: several units fit and nothing tells which; value is then null) and
     converted (true if the text was not already that plain number). Values that can't be read have
     a null value and unit_from; repeated rows stay; a study that is missing says nothing.
     """
@@ -139,23 +142,22 @@ def harmonise_units(hits: DataFrame, studies: DataFrame, tie: float = 0.2) -> Da
     # studies are a dimension, but nothing is assumed of its size: the optimiser broadcasts it only if it is small
     rows = rows.join(about, "study_id", "left")
     study_unit = F.when(F.col("has_or"), "odds_ratio").when(~F.col("has_or"), "ln")
-    rows = rows.withColumn("b_known", F.coalesce("b_text", "b_note", study_unit))
-    open_rows = rows.where(F.col("b_told") & F.col("b_known").isNull())
-    inferred = inferred_units(open_rows.select("study_id", F.col("b_number").alias("number"), "se", "p"), tie)
-    rows = rows.join(inferred, "study_id", "left")
-    unit = F.coalesce("b_known", "inferred_unit")
-    source = F.when(F.col("b_text").isNotNull(), "text").when(F.col("b_note").isNotNull(), "note").when(study_unit.isNotNull(), "study").when(F.col("inferred_unit").isNotNull(), "identity")
+    rows = rows.withColumn("b_known", F.coalesce("b_text", "b_note", study_unit)).withColumn("stated", F.coalesce("b_known", F.lit("")))
+    inferred = inferred_units(rows.where("b_told").select("study_id", "stated", F.col("b_number").alias("number"), "se", "p"), tie)
+    rows = rows.join(inferred, ["study_id", "stated"], "left")
+    unit = F.coalesce("b_known", "identity_unit")
+    source = F.when(F.col("b_text").isNotNull(), "text").when(F.col("b_note").isNotNull(), "note").when(study_unit.isNotNull(), "study").when(F.col("identity_unit").isNotNull(), "identity")
     ln_or = to_log_odds(F.col("b_number"), unit)
     maf = F.least("m_value", 1 - F.col("m_value"))
     m_source = F.when(F.col("m").rlike(r"[a-z%‰=/:]"), "text").when(F.col("m_unit") != "fraction", "note").otherwise("study")
 
-    def entry(field: str, raw: str, unit: Column, source: Column, value: Column, unique: Column, told: Column) -> Column:
+    def entry(field: str, raw: str, unit: Column, source: Column, fits: Column, value: Column, unique: Column, told: Column) -> Column:
         plain = F.when(is_plain(F.col(raw)), F.trim(F.col(raw)).try_cast("double"))
         converted = plain.isNull() | (F.abs(plain - value) > 1e-9)
-        return F.when(told, F.struct(F.lit(field).alias("field"), F.col(raw).alias("raw"), unit.alias("unit"), source.alias("unit_from"), value.alias("value"), unique.alias("unique"), converted.alias("converted")))
+        return F.when(told, F.struct(F.lit(field).alias("field"), F.col(raw).alias("raw"), unit.alias("unit"), source.alias("unit_from"), fits.alias("identity_unit"), value.alias("value"), unique.alias("unique"), converted.alias("converted")))
 
     b_unique = F.col("b_known").isNotNull() | F.coalesce(F.col("unique"), F.lit(False))
-    both = F.array_compact(F.array(entry("beta", "beta", unit, source, ln_or, b_unique, F.col("b_told")), entry("maf", "maf", F.col("m_unit"), m_source, maf, F.lit(True), is_reported(F.col("maf")))))
+    both = F.array_compact(F.array(entry("beta", "beta", unit, source, F.col("identity_unit"), ln_or, b_unique, F.col("b_told")), entry("maf", "maf", F.col("m_unit"), m_source, F.lit(None).cast("string"), maf, F.lit(True), is_reported(F.col("maf")))))
     return rows.select("row_id", F.explode(both).alias("e")).select("row_id", "e.*")
 
 

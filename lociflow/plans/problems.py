@@ -20,7 +20,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_values(spark: SparkSession, d: str) -> DataFrame:
     """All reported values in the common unit, and where the unit was known from."""
     values = harmonise_units(table(spark, d, "assoc_hits"), table(spark, d, "gwas_studies"))
-    return values.select("row_id", "field", "unit", "unit_from", F.round("value", 6).alias("value"), "unique")
+    return values.select("row_id", "field", "unit", "unit_from", "identity_unit", F.round("value", 6).alias("value"), "unique")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
