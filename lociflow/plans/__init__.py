@@ -1,8 +1,8 @@
 """Registered queries with their equivalent SQL."""
 
-from lociflow.plans import problems
+from lociflow.plans import problems, variants
 
-_MODULES = (problems,)
+_MODULES = (problems, variants)
 
 #: name -> query(spark, folder of the tables)
 REGISTRY = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
