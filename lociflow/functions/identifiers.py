@@ -62,7 +62,7 @@ def atc_level(code: Column) -> Column:
 
 def text_list(raw: Column, separator: str = r"\|") -> Column:
     """A separated text as an array of trimmed non-blank parts; null if there are none."""
-    parts = F.filter(F.transform(F.split(raw, separator), F.trim), lambda s: s != "")
+    parts = F.filter(F.transform(F.split(raw, separator), lambda x: F.trim(x)), lambda s: s != "")
     return F.when(F.size(parts) > 0, parts)
 
 

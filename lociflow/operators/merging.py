@@ -27,7 +27,7 @@ def richest_record(rows: DataFrame, keys: list[str], identity: str, scalars: lis
     best = F.struct(-filled.alias("f"), F.col(identity).alias("id"), *[F.col(c).alias(c) for c in scalars])
     firsts = [F.min(F.when(F.col(c).isNotNull(), F.struct(identity, c))).alias(f"__first_{c}") for c in scalars]
     unions = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in lists]
-    names = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.transform(F.split(F.lower(sources), ","), F.trim), lambda s: s != "")))))
+    names = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.transform(F.split(F.lower(sources), ","), lambda s: F.trim(s)), lambda s: s != "")))))
     merged = rows.groupBy(*keys).agg(F.min(best).alias("__best"), F.count("*").alias("n_records"), names.alias("__names"), *firsts, *unions)
     return merged.select(
         *keys, F.col("__best.id").alias("kept"), "n_records", F.array_join("__names", ",").alias(sources),
