@@ -121,14 +121,15 @@ def layout_versions(files: DataFrame, lines: DataFrame, aliases: DataFrame) -> D
 
 
 def unify(files: DataFrame, lines: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Every loadable data line of every file as one row of the canonical table.
+    """Every well-formed data line of every file as one row of the canonical table.
 
     The rules are chained: rename (header to canonical name), default (a column the file lacks is
     null) and cast (``CANONICAL``; chr prefixes and thousands separators removed, per cent signs
     divided out; text that is no number becomes null). Columns that are no canonical name are kept
-    in the map ``extra``. Lines whose quoting or field count is broken are left to the rejects.
+    in the map ``extra``. Lines whose quoting or field count is broken are left to the rejects; a
+    value that isn't valid is null and its line stays.
     """
-    parsed = parsed_lines(lines, aliases).where(F.col("reason").isNull())
+    parsed = parsed_lines(lines, aliases).where(~F.coalesce(F.col("reason"), F.lit("")).isin("quoting", "columns"))
 
     def cast(name: str, kind: str) -> Column:
         raw = F.col("fields")[name]

@@ -128,8 +128,8 @@ def reject_reason(text: str, header: str, aliases: dict[str, str]) -> tuple[str
 def parsed_lines(lines: DataFrame, aliases: DataFrame) -> DataFrame:
     """Every data line with its ``reason`` (null: it loads) and its ``fields`` under canonical names.
 
-    Columns: line_id, file_id, line_no, reason, fields (map of canonical name to trimmed text; the
-    first of several columns of one name). Empty or null tables give no rows; null lines count as
+    Columns: line_id, file_id, line_no, reason, fields (map of canonical name to trimmed text, the
+    first of several columns of one name; empty where quoting or field count is broken). Empty or null tables give no rows; null lines count as
     blank. Python only splits and checks single records, in Arrow batches; Spark does the rest.
     """
     data, _ = with_headers(lines)
@@ -141,7 +141,7 @@ def parsed_lines(lines: DataFrame, aliases: DataFrame) -> DataFrame:
             for text, header in zip(batch["text"], batch["header"], strict=True):
                 reason, fields = reject_reason(text, header, names)
                 reasons.append(reason)
-                pairs = {} if reason else {names.get(n, n): f for n, f in reversed(list(zip(header_names(header), fields, strict=True)))}
+                pairs = {} if reason in ("quoting", "columns") else {names.get(n, n): f for n, f in reversed(list(zip(header_names(header), fields, strict=True)))}
                 maps.append(pairs)
             yield pd.DataFrame({"line_id": batch["line_id"], "file_id": batch["file_id"], "line_no": batch["line_no"], "reason": reasons, "fields": maps})
 
