@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+LOCUS = ["g", "c", "locus_start", "lead_position", "lead_p", "lead_label", "n_positions"]
+
 
 def range_join(points: DataFrame, intervals: DataFrame, key: str, point: str, start: str, end: str, width: int) -> DataFrame:
     """Pairs with equal ``key`` and start <= point <= end, as an equi-join over bins of ``width``.
@@ -34,20 +38,23 @@ def collapse_loci(hits: DataFrame, group: str, chromosome: str, position: str, p
     runs = best.withColumn("__new", gap.cast("int")).withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     columns = runs.select(F.col(group).cast("string").alias("g"), F.col(chromosome).cast("int").alias("c"), "__run", F.col(position).cast("long").alias("pos"), F.col(f"b.{p}").alias("p"), F.col(f"b.{label}").cast("string").alias("name"))
 
-    def scan(run: pd.DataFrame) -> pd.DataFrame:
-        run = run.sort_values("pos")
-        loci: list[list] = []
-        for pos, value, name in zip(run["pos"], run["p"], run["name"], strict=True):
-            if not loci or pos - loci[-1][1] > window:
-                loci.append([pos, pos, value, name, 1])
-                continue
-            loci[-1][4] += 1
-            if value < loci[-1][2]:
-                loci[-1][1:4] = [pos, value, name]
-        out = pd.DataFrame(loci, columns=["locus_start", "lead_position", "lead_p", "lead_label", "n_positions"])
-        out.insert(0, "c", run["c"].iloc[0])
-        out.insert(0, "g", run["g"].iloc[0])
-        return out
-
-    found = columns.groupBy("g", "c", "__run").applyInPandas(scan, "g string, c int, locus_start long, lead_position long, lead_p double, lead_label string, n_positions int")
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, locus = None, None
+        for batch in batches:
+            closed = []
+            for g, c, run, pos, value, name in batch.itertuples(index=False, name=None):
+                if locus is None or (g, c, run) != key or pos - locus[3] > window:
+                    if locus is not None:
+                        closed.append(locus)
+                    key, locus = (g, c, run), [g, c, pos, pos, value, name, 1]
+                    continue
+                locus[6] += 1
+                if value < locus[4]:
+                    locus[3:6] = [pos, value, name]
+            yield pd.DataFrame(closed, columns=LOCUS)
+        yield pd.DataFrame([locus] if locus is not None else [], columns=LOCUS)
+
+    # one stream of sorted positions a task: only the present locus is held
+    ordered = columns.repartition("g", "c", "__run").sortWithinPartitions("g", "c", "__run", "pos")
+    found = ordered.mapInPandas(scan, "g string, c int, locus_start long, lead_position long, lead_p double, lead_label string, n_positions int")
     return found.withColumnsRenamed({"g": group, "c": chromosome})

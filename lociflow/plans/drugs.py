@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.functions.identifiers import atc_level, plain_name, pubchem_cid
+from lociflow.operators.enrichment import class_regression, permutation_test
 from lociflow.operators.merging import class_members, identical_sets, item_sets, list_counts, membership_patterns, richest_record, tiered_match
 from lociflow.operators.ranks import average_ranks, rank_sum_test
 from lociflow.session import table
@@ -102,6 +103,22 @@ def d_gene_ranks(spark: SparkSession, d: str) -> DataFrame:
     return average_ranks(gene_scores(records(spark, d)), [], "score").select("score", "n", "total", "rank")
 
 
+def d_permutation(spark: SparkSession, d: str) -> DataFrame:
+    """Permutation test of each drug's genes by mean score, 200 draws a set size."""
+    r = records(spark, d)
+    t = permutation_test(gene_scores(r), r.select("drug", "gene"), "gene", "score", "drug", draws=200)
+    return t.select("drug", "n_in", F.round("mean", 6).alias("mean"), F.round("p", 6).alias("p"))
+
+
+def d_class_regression(spark: SparkSession, d: str) -> DataFrame:
+    """Regression of the drugs' rank-test z on membership in each anatomical class, given the size of their gene sets."""
+    r = records(spark, d)
+    tested = d_rank_sum(spark, d).select("drug", "z", "n_in")
+    classes = r.where("atc_codes is not null").select("drug", F.explode("atc_codes").alias("code")).select("drug", F.upper(F.substring(F.trim("code"), 1, 1)).alias("class")).where("class <> ''")
+    t = class_regression(tested, classes, "drug", "z", "n_in", "class")
+    return t.select("class", "n_members", *[F.round(c, 6).alias(c) for c in ("beta", "se", "t")])
+
+
 def d_three_pass(spark: SparkSession, d: str) -> DataFrame:
     """Compounds matched to the registry by InChIKey, then compound number, then plain name; ambiguous keys match nothing."""
     shape = lambda df, i: df.select(i, F.upper(F.trim("drug_inchikey")).alias("inchikey"), pubchem_cid(F.col("drug_pubchem_cid")).alias("cid"), plain_name(F.col("drug_name")).alias("name"))
@@ -151,7 +168,7 @@ def d_phase_pivot(spark: SparkSession, d: str) -> DataFrame:
     return p.select("molecule_type", *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"phase_{i}") for i in range(5)])
 
 
-QUERIES = {q.__name__: q for q in (d_merged, d_best_affinity, d_mechanism_affinity, d_gene_sets, d_identical_sets, d_rollup, d_classes, d_class_pairs, d_rank_sum, d_gene_ranks, d_three_pass, d_synonyms, d_directions, d_overlap, d_counts, d_missing_pairs, d_phase_pivot)}
+QUERIES = {q.__name__: q for q in (d_merged, d_best_affinity, d_mechanism_affinity, d_gene_sets, d_identical_sets, d_rollup, d_classes, d_class_pairs, d_rank_sum, d_gene_ranks, d_permutation, d_class_regression, d_three_pass, d_synonyms, d_directions, d_overlap, d_counts, d_missing_pairs, d_phase_pivot)}
 
 _R = """r AS (SELECT *, upper(trim(drug_chembl_id)) AS drug, upper(trim(gene_symbol)) AS gene, CASE WHEN pchembl_value > 0 AND pchembl_value <= 15 AND NOT isnan(pchembl_value) THEN pchembl_value END AS potency
           FROM drug_targets WHERE trim(drug_chembl_id) <> '' AND trim(gene_symbol) <> '')"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociflow.functions.alleles import clean_allele, complement, is_palindromic, minor_frequency, orientation
 from lociflow.functions.identifiers import rsid
 from lociflow.functions.stats import CHI2_MEDIAN, finite, z_of_p
+from lociflow.operators.components import connected_components
 from lociflow.operators.estimators import colocalisation, inverse_variance_meta, log_bayes_factor, mendelian_estimates, steiger_z, weighted_lower_median
 from lociflow.operators.merging import keep_first
 from lociflow.operators.ranges import collapse_loci, range_join
@@ -145,6 +146,18 @@ def v_windows(spark: SparkSession, d: str) -> DataFrame:
     return near.groupBy("lead").agg(F.count("*").alias("n_near"), F.min("p").alias("best_p"), F.min("pos").alias("first_pos"))
 
 
+def v_linked_leads(spark: SparkSession, d: str) -> DataFrame:
+    """Strong hits (p below 1e-20) of all studies linked where they are within 500 kb: the smallest row of each cluster."""
+    hits = canonical(spark, d).where("p < 1e-20")
+    # neighbours of one window are linked through its first hit of each half, so a dense window has no all-pairs list
+    cells = hits.select("row_id", "chr", "pos", F.floor(F.col("pos") / 500_000).alias("cell"))
+    ends = cells.groupBy("chr", "cell").agg(F.min(F.struct("pos", "row_id")).alias("lo"), F.max(F.struct("pos", "row_id")).alias("hi"))
+    inside = cells.join(ends, ["chr", "cell"]).select(F.col("row_id").alias("a"), F.col("lo.row_id").alias("b"))
+    after = ends.select("chr", (F.col("cell") - 1).alias("cell"), F.col("lo").alias("next"))
+    across = ends.join(after, ["chr", "cell"]).where(F.col("next.pos") - F.col("hi.pos") <= 500_000).select(F.col("hi.row_id").alias("a"), F.col("next.row_id").alias("b"))
+    return connected_components(inside.unionByName(across), "a", "b").select(F.col("node").alias("row_id"), "component")
+
+
 def v_loci(spark: SparkSession, d: str) -> DataFrame:
     """Genome-wide significant hits collapsed to loci, 500 kb apart."""
     hits = canonical(spark, d).where(F.col("p") < GENOME_WIDE)
@@ -202,7 +215,7 @@ def v_steiger(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("row_id", F.round(z, 6).alias("steiger_z"), (z > 0).alias("forward"))
 
 
-QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs, v_lambda_gc, v_quantiles, v_windows, v_loci, v_best_per_region, v_meta, v_mendelian, v_ratio_median, v_coloc, v_steiger)}
+QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs, v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_best_per_region, v_meta, v_mendelian, v_ratio_median, v_coloc, v_steiger)}
 
 _FINITE = lambda c: f"CASE WHEN NOT isnan({c}) AND abs({c}) < 'inf'::DOUBLE THEN {c} END"
 _CANONICAL = f"""
@@ -280,6 +293,8 @@ SQL = {
         SELECT study_id, p, round(-log10(p), 6) AS observed, round(-log10((below + (n + 1) / 2 - 0.5) / total), 6) AS expected FROM r WHERE p < 1e-4""",
     "v_windows": f"""WITH {_CANONICAL}, l AS (SELECT chr, row_id AS lead, pos - 500000 AS lo, pos + 500000 AS hi FROM c WHERE p < 1e-30)
         SELECT lead, count(*) AS n_near, min(p) AS best_p, min(pos) AS first_pos FROM c JOIN l ON c.chr = l.chr AND pos BETWEEN lo AND hi GROUP BY lead""",
+    "v_linked_leads": f"""WITH {_CANONICAL}, h AS (SELECT row_id, chr, pos, CAST(coalesce(pos - lag(pos) OVER (PARTITION BY chr ORDER BY pos, row_id) > 500000, true) AS INT) AS new FROM c WHERE p < 1e-20),
+        i AS (SELECT *, sum(new) OVER (PARTITION BY chr ORDER BY pos, row_id) AS island FROM h) SELECT row_id, min(row_id) OVER (PARTITION BY chr, island) AS component FROM i""",
     "v_best_per_region": f"WITH {_LEADS} SELECT study_id, chr, mb, row_id, p FROM leads",
     "v_meta": f"""WITH {_LEADS}, s AS (SELECT chr, mb, count(*) AS k, sum(1 / (se * se)) AS w, sum(beta / (se * se)) AS wb, sum(beta * beta / (se * se)) AS wbb FROM leads GROUP BY chr, mb),
         b AS (SELECT chr, mb, study_id AS best FROM leads QUALIFY row_number() OVER (PARTITION BY chr, mb ORDER BY p, study_id) = 1),
