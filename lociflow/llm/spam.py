@@ -5,8 +5,10 @@ fixed size, so that what is gathered has a size bound whatever the corpus. A sec
 every document by the mean pointwise mutual information of its neighbouring words, its own
 occurrences taken out of the counts: strung-together keywords and pieces of addresses hardly ever
 follow each other elsewhere. Collocations repeated over and over within a document are the other
-sign. Documents with either sign are then checked passage by passage: links, hash tags, product
-tags, spelt-out or digit-for-letter words, and passages without function words whose words recur.
+sign. Each distinct text is counted once, so copies of a page don't lend it coherence. The signs are
+reported, but drop nothing, as a full sketch hides them: every document is checked passage by
+passage for links, hash tags, product tags, spelt-out or digit-for-letter words, and passages
+without function words whose words recur.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ class SpamModel:
     """Sizes of the sketches and thresholds.
 
     ``words`` and ``pairs`` are the binary logarithms of the sketches' widths; each has two rows.
-    A document is suspected if its mean PMI is below ``least_pmi``, or the share of pairs that are
+    A document is suspected (reported only) if its mean PMI is below ``least_pmi``, or the share of pairs that are
     incoherent (PMI below 0) is above ``most_incoherent``, or the share of pairs that it repeats
     ``repeats`` times or more is above ``most_repeated``, or fewer than ``least_common`` of its
     words are among the frequent ones that hold sentences together (``frequent`` of the corpus
@@ -120,7 +122,7 @@ def _pairs(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def corpus_counts(documents: DataFrame, model: SpamModel = SpamModel(), text: str = "text") -> tuple[np.ndarray, np.ndarray, int]:
-    """(word sketch, pair sketch, number of words) over all documents.
+    """(word sketch, pair sketch, number of words) over all distinct texts.
 
     Each task adds up sketches of a fixed size and emits their non-zero cells; Spark sums the
     cells block by block and packs every block into one row of bytes. The driver gets
@@ -150,7 +152,8 @@ def corpus_counts(documents: DataFrame, model: SpamModel = SpamModel(), text: st
         cells[block["cell"].to_numpy() & ((1 << BLOCK) - 1)] = block["n"].to_numpy()
         return pd.DataFrame({"block": block["block"].iloc[:1], "cells": [cells.tobytes()]})
 
-    counted = documents.select(text).mapInPandas(count, "block long, cell long, n long")
+    distinct = documents.select(text, F.md5(text).alias("__hash")).dropDuplicates(["__hash"]).select(text)
+    counted = distinct.mapInPandas(count, "block long, cell long, n long")
     # cells of one block go to one place once; summing and packing need no further shuffle
     summed = counted.repartition("block").groupBy("block", "cell").agg(F.sum("n").alias("n"))
     blocks = summed.groupBy("block").applyInPandas(pack, "block long, cells binary").toPandas()
@@ -315,11 +318,15 @@ def spam_share(text: str) -> float:
     return spam / max(whole, 1)
 
 
+def _share(text: str | None) -> float | None:
+    return spam_share(text) if text and text.strip() else None
+
+
 def spam_scores(documents: DataFrame, model: SpamModel = SpamModel(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document: doc_id, n_pairs, pmi, incoherent, repeated, suspected, spam_share, spam.
 
-    ``spam_share`` is only worked out (not null) for suspected documents. Null, empty and blank
-    texts have no pairs and are no spam; repeated rows are judged each. No shuffle in this pass.
+    Null, empty and blank texts have no pairs and no ``spam_share`` (null) and are no spam;
+    repeated rows are judged each. No shuffle in this pass.
     """
     words, pairs, total = corpus_counts(documents, model, text)
     shared = documents.sparkSession.sparkContext.broadcast((words.astype(np.int32) if total < 2**31 else words, pairs.astype(np.int32) if total < 2**31 else pairs))
@@ -330,13 +337,22 @@ def spam_scores(documents: DataFrame, model: SpamModel = SpamModel(), key: str =
             for first, last, run in _chunks(batch[text].tolist()):
                 s = coherence(run, word_sketch, pair_sketch, total, model)
                 signs = (s.pmi < model.least_pmi) | (s.incoherent > model.most_incoherent) | (s.repeated > model.most_repeated) | (s.common < model.least_common) | (s.n < model.least_pairs)
-                suspected = signs.to_numpy() & np.array([bool(t.strip()) for t in run], bool)
-                share = [spam_share(t) if x else None for t, x in zip(run, suspected, strict=True)]
+                share = [_share(t) for t in run]
+                suspected = signs.to_numpy() & np.array([x is not None for x in share], bool)
                 yield pd.DataFrame({key: batch[key].to_numpy()[first:last], "n_pairs": s.n, "pmi": s.pmi, "incoherent": s.incoherent, "repeated": s.repeated, "suspected": suspected, "spam_share": share, "spam": [x is not None and x > model.most_spam for x in share]})
 
     return documents.select(key, text).mapInPandas(score, f"{key} long, n_pairs long, pmi double, incoherent double, repeated double, suspected boolean, spam_share double, spam boolean")
 
 
 def find_spam(documents: DataFrame, model: SpamModel = SpamModel(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The doc_id of every page that is mostly strung-together keywords, links or product tags."""
-    return spam_scores(documents, model, key, text).where("spam").select(key)
+    """The doc_id of every page that is mostly strung-together keywords, links or product tags.
+
+    The same as the ``spam`` rows of ``spam_scores``, in one pass without the corpus' counts.
+    """
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            share = [_share(t) for t in batch[text]]
+            yield batch.loc[[x is not None and x > model.most_spam for x in share], [key]]
+
+    return documents.select(key, text).mapInPandas(check, f"{key} long")

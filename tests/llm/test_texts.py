@@ -57,6 +57,15 @@ def test_spam(spark):
     assert find_spam(df.where("false")).count() == 0
 
 
+def test_spam_with_many_copies(spark):
+    page = " ".join("#" + a + b + c for a in "bdfgk" for b in "aeiou" for c in ("lm", "rt", "st"))
+    speech = [f"1\n00:00:01,000 --> 00:00:02,000\nI think that we should have been at house{'abcdefghij'[i % 10]}{'klmnop'[i // 10]} before it was too late.\n" for i in range(60)]
+    df = spark.createDataFrame([(i, page) for i in range(30)] + [(100 + i, t) for i, t in enumerate(speech)], "doc_id long, text string")
+    assert {r.doc_id for r in find_spam(df).collect()} == set(range(30))
+    scores = spam_scores(df).where("spam").collect()
+    assert len(scores) == 30 and all(r.suspected for r in scores)
+
+
 def test_every_query_runs(spark):
     for name in ("p3_matches", "p8_mix", "p8_shares", "p9_scores", "p7_counts", "p1_quality"):
         assert QUERIES[name](spark, SMALL).count() > 0
