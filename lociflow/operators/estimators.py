@@ -77,7 +77,8 @@ def colocalisation(rows: DataFrame, keys: list[str], one: str, two: str, p1: flo
     """(keys, n_snps, h0 .. h4): posteriors that neither, one, both apart, or one shared variant is causal.
 
     ``one`` and ``two`` are log Bayes factors per shared variant. Sums of exponentials are taken
-    relative to the group's largest, in two aggregations; no group is collected.
+    relative to the group's largest, in two aggregations; no group is collected. A prior that the
+    group's variants would push to 1 or more is lowered to 1 / (n + 1).
     """
     known = rows.where(F.col(one).isNotNull() & F.col(two).isNotNull())
     tops = known.groupBy(*keys).agg(F.max(one).alias("m1"), F.max(two).alias("m2"), F.max(F.col(one) + F.col(two)).alias("m3"))
@@ -88,7 +89,8 @@ def colocalisation(rows: DataFrame, keys: list[str], one: str, two: str, p1: flo
     s1, s2, s3 = (F.col(f"m{i}") + F.ln(f"e{i}") for i in (1, 2, 3))
     rest = 1 - F.exp(s3 - s1 - s2)
     apart = F.when(rest > 1e-12, s1 + s2 + F.ln(rest))  # null: no pair of different variants
-    logs = [F.lit(0.0), F.ln(F.lit(p1)) + s1, F.ln(F.lit(p2)) + s2, F.ln(F.lit(p1)) + F.ln(F.lit(p2)) + apart, F.ln(F.lit(p12)) + s3]
+    l1, l2, l12 = (F.ln(F.when(F.col("n_snps") * p < 1, F.lit(p)).otherwise(1 / (F.col("n_snps") + 1))) for p in (p1, p2, p12))
+    logs = [F.lit(0.0), l1 + s1, l2 + s2, l1 + l2 + apart, l12 + s3]
     logged = scaled.select(*keys, "n_snps", *[v.alias(f"l{i}") for i, v in enumerate(logs)])
     top = F.greatest(*[F.col(f"l{i}") for i in range(5)])
     parts = [F.coalesce(F.exp(F.col(f"l{i}") - top), F.lit(0.0)) for i in range(5)]

@@ -181,12 +181,69 @@ def paired_regions(spark: SparkSession, d: str) -> DataFrame:
     return leads.where(F.col("study_id") != OUTCOME).join(outcome, ["chr", "mb"])
 
 
+def aligned_variants(rows: DataFrame) -> DataFrame:
+    """Usable rows with alleles, the effect laid to one spelling of the variant.
+
+    ``alleles`` is the first of the pair's four spellings (either order, either strand); a row whose
+    effect allele is the other one changes its sign. A palindrome's strand, so its sign, is unknown.
+    """
+    a1, a2 = F.col("a1"), F.col("a2")
+    c1, c2 = complement(a1), complement(a2)
+    spell = lambda a, b: F.concat_ws("/", a, b)
+    known = rows.where((F.col("p") > 0) & (F.col("p") <= 1) & (F.col("se") > 0) & F.col("beta").isNotNull() & a1.isNotNull() & a2.isNotNull())
+    named = known.withColumn("palindromic", is_palindromic(a1, a2)).withColumn("alleles", F.least(spell(a1, a2), spell(a2, a1), spell(c1, c2), spell(c2, c1)))
+    same = F.col("alleles").isin(spell(a1, a2), spell(c1, c2))
+    return named.withColumn("beta", F.when(same, F.col("beta")).otherwise(-F.col("beta"))).select("row_id", "study_id", "snp", "chr", "pos", "alleles", "palindromic", "beta", "se", "p", "n")
+
+
+def paired_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Each study's variants beside the outcome study's row of the same variant, effects of the same allele.
+
+    By rs number, then by place for those whose number the outcome study hasn't, as ``v_harmonised``;
+    alleles must match in some orientation. One row a study and variant (the smallest row_id).
+    """
+    rows = aligned_variants(canonical(spark, d))
+    place = F.coalesce(F.concat_ws(":", *[F.when(F.col("chr").isNotNull() & F.col("pos").isNotNull(), F.col(c).cast("string")) for c in ("chr", "pos")]), F.lit(""))
+    outcome = keep_first(rows.where(F.col("study_id") == OUTCOME).withColumn("__at", F.when(place != "", place).otherwise(F.col("snp"))), ["__at", "alleles"], [F.col("row_id")])
+    values = [F.col(c).alias(f"o_{c}") for c in ("row_id", "beta", "se", "p", "n")]
+    by = lambda keys: keep_first(outcome.where(" and ".join(f"{k} is not null" for k in keys)).select(*keys, "alleles", *values), [*keys, "alleles"], [F.col("o_row_id")])
+    others, ids = rows.where(F.col("study_id") != OUTCOME), by(["snp"])
+    named = others.join(ids, ["snp", "alleles"])
+    rest = others.join(rows.where(F.col("study_id") == OUTCOME).select("snp").distinct(), "snp", "left_anti").join(by(["chr", "pos"]), ["chr", "pos", "alleles"])
+    return keep_first(named.unionByName(rest), ["study_id", "o_row_id"], [F.col("row_id")])
+
+
 def v_meta(spark: SparkSession, d: str) -> DataFrame:
     """Fixed-effects meta-analysis over the studies' leads of each region."""
     m = inverse_variance_meta(region_leads(canonical(spark, d)), ["chr", "mb"], "beta", "se", "study_id", "p")
     return m.select("chr", "mb", "k", *[F.round(c, 6).alias(c) for c in ("beta", "se", "z", "q", "i2")], "best")
 
 
+def v_meta_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Fixed-effects meta-analysis of every variant over all studies, effects of the same allele; no palindromes.
+
+    A variant is known by its rs number, without one by that of others at its place, else by the place.
+    """
+    rows = aligned_variants(canonical(spark, d)).where("not palindromic")
+    places = rows.where("snp is not null and chr is not null and pos is not null").groupBy("chr", "pos").agg(F.min("snp").alias("there"))
+    spot = F.when(F.col("chr").isNotNull() & F.col("pos").isNotNull(), F.concat_ws(":", F.col("chr").cast("string"), F.col("pos").cast("string")))
+    named = rows.join(places, ["chr", "pos"], "left").withColumn("variant", F.coalesce("snp", "there", spot)).where("variant is not null")
+    once = keep_first(named.drop("chr", "pos", "snp", "there"), ["study_id", "variant", "alleles"], [F.col("row_id")])
+    m = inverse_variance_meta(once, ["variant", "alleles"], "beta", "se", "study_id", "p")
+    return m.select("variant", "alleles", "k", *[F.round(c, 6).alias(c) for c in ("beta", "se", "z", "q", "i2")], "best")
+
+
+def instruments(spark: SparkSession, d: str) -> DataFrame:
+    """Shared variants that are no palindromes, of an F of 4 or more in the exposure."""
+    return paired_variants(spark, d).where(~F.col("palindromic") & (F.pow(F.col("beta") / F.col("se"), 2) >= 4))
+
+
+def v_mendelian_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Mendelian randomisation of the outcome study on every other: all shared variants with an F of 4 or more, alleles aligned."""
+    m = mendelian_estimates(instruments(spark, d), "study_id", "beta", "se", "o_beta", "o_se")
+    return m.select("study_id", "k", *[F.round(c, 5).alias(c) for c in m.columns[2:]])
+
+
 def v_mendelian(spark: SparkSession, d: str) -> DataFrame:
     """Mendelian randomisation of the outcome study on every other: leads of shared regions as instruments (F of 4 or more)."""
     strong = paired_regions(spark, d).where(F.pow(F.col("beta") / F.col("se"), 2) >= 4)
@@ -207,15 +264,30 @@ def v_coloc(spark: SparkSession, d: str) -> DataFrame:
     return post.select("study_id", "chr", "n_snps", *[F.round(f"h{i}", 6).alias(f"h{i}") for i in range(5)])
 
 
-def v_steiger(spark: SparkSession, d: str) -> DataFrame:
-    """Direction of effect in the lead regions: z of the difference between the variance explained in exposure and outcome."""
+def v_coloc_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Colocalisation posteriors of every study with the outcome study per region (megabase), over all shared variants."""
+    rows = paired_variants(spark, d).where("chr is not null and pos is not null").select("study_id", "chr", F.floor(F.col("pos") / MEGABASE).alias("mb"), log_bayes_factor(F.col("beta"), F.col("se"), 0.04).alias("one"), log_bayes_factor(F.col("o_beta"), F.col("o_se"), 0.04).alias("two"))
+    post = colocalisation(rows, ["study_id", "chr", "mb"], "one", "two")
+    return post.select("study_id", "chr", "mb", "n_snps", *[F.round(f"h{i}", 6).alias(f"h{i}") for i in range(5)])
+
+
+def steiger(rows: DataFrame) -> DataFrame:
     r2 = lambda b, s, n: F.pow(F.col(b) / F.col(s), 2) / (F.pow(F.col(b) / F.col(s), 2) + F.col(n))
-    rows = paired_regions(spark, d).where("n > 3 and o_n > 3")
     z = steiger_z(r2("beta", "se", "n"), r2("o_beta", "o_se", "o_n"), F.col("n"), F.col("o_n"))
-    return rows.select("row_id", F.round(z, 6).alias("steiger_z"), (z > 0).alias("forward"))
+    return rows.where("n > 3 and o_n > 3").select("row_id", F.round(z, 6).alias("steiger_z"), (z > 0).alias("forward"))
+
+
+def v_steiger_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Direction of effect of every shared variant, as ``v_steiger``."""
+    return steiger(paired_variants(spark, d))
+
+
+def v_steiger(spark: SparkSession, d: str) -> DataFrame:
+    """Direction of effect in the lead regions: z of the difference between the variance explained in exposure and outcome."""
+    return steiger(paired_regions(spark, d))
 
 
-QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs, v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_best_per_region, v_meta, v_mendelian, v_ratio_median, v_coloc, v_steiger)}
+QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs, v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
 
 _FINITE = lambda c: f"CASE WHEN NOT isnan({c}) AND abs({c}) < 'inf'::DOUBLE THEN {c} END"
 _CANONICAL = f"""
