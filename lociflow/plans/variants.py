@@ -110,8 +110,13 @@ def v_fdr(spark: SparkSession, d: str) -> DataFrame:
 
 def v_fdr_all(spark: SparkSession, d: str) -> DataFrame:
     """False discovery rates over all rows at once, for values below one per cent."""
+    return v_fdr_whole(spark, d).where("p < 0.01")
+
+
+def v_fdr_whole(spark: SparkSession, d: str) -> DataFrame:
+    """False discovery rates over all rows at once, of every distinct p value."""
     q = benjamini_hochberg(table(spark, d, "gwas_variants"), [], "p")
-    return q.where("p < 0.01").select("p", "n", "rank", F.round("q", 9).alias("q"))
+    return q.select("p", "n", "rank", F.round("q", 9).alias("q"))
 
 
 def v_cutoffs(spark: SparkSession, d: str) -> DataFrame:
@@ -133,9 +138,14 @@ def v_lambda_gc(spark: SparkSession, d: str) -> DataFrame:
 
 def v_quantiles(spark: SparkSession, d: str) -> DataFrame:
     """Observed against expected -log10 p of each study's distinct values below the suggestive line."""
+    return v_quantiles_whole(spark, d).where(F.col("p") < SUGGESTIVE)
+
+
+def v_quantiles_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Observed against expected -log10 p of every distinct value of each study."""
     v = table(spark, d, "gwas_variants")
     placed = running_counts(value_counts(v.where((F.col("p") > 0) & (F.col("p") <= 1)), ["study_id"], "p"), ["study_id"], "p")
-    return placed.where(F.col("p") < SUGGESTIVE).select("study_id", "p", F.round(-F.log10("p"), 6).alias("observed"), F.round(-F.log10((F.col("below") + (F.col("n") + 1) / 2 - 0.5) / F.col("total")), 6).alias("expected"))
+    return placed.select("study_id", "p", F.round(-F.log10("p"), 6).alias("observed"), F.round(-F.log10((F.col("below") + (F.col("n") + 1) / 2 - 0.5) / F.col("total")), 6).alias("expected"))
 
 
 def v_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -287,7 +297,7 @@ def v_steiger(spark: SparkSession, d: str) -> DataFrame:
     return steiger(paired_regions(spark, d))
 
 
-QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs, v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
+QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_fdr_whole, v_cutoffs, v_lambda_gc, v_quantiles, v_quantiles_whole, v_windows, v_linked_leads, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
 
 _FINITE = lambda c: f"CASE WHEN NOT isnan({c}) AND abs({c}) < 'inf'::DOUBLE THEN {c} END"
 _CANONICAL = f"""

@@ -75,3 +75,23 @@ def test_variant_estimates(spark, shared):
         if not palindrome:
             b, w = np.array([x[0] for x in kept.values()]), np.array([x[1] ** -2 for x in kept.values()])
             assert meta[f"rs{v}"].k == 3 and abs(meta[f"rs{v}"].beta) == pytest.approx(abs((b * w).sum() / w.sum()), abs=2e-6)
+
+
+def test_quantiles_and_fdr_of_every_value(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.choice("ab"), None, 1, i, "A", "C", 0.1, 0.1, rng.choice([1.0, 0.5, 1e-9, rng.random()]), 0.2, 1.0, 10, None, None) for i in range(200)]
+    folder, got = _folder(spark, tmp_path, rows), {}
+    for r in variants.v_quantiles_whole(spark, folder).collect():
+        got[r.study_id, r.p] = (r.observed, r.expected)
+    want = {}
+    for s in "ab":
+        ps = sorted(r[9] for r in rows if r[1] == s)
+        for p in set(ps):
+            ranks = [i for i, x in enumerate(ps, 1) if x == p]
+            want[s, p] = (-math.log10(p), -math.log10((sum(ranks) / len(ranks) - 0.5) / len(ps)))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=2e-6) for k in want)
+    ps = sorted(r[9] for r in rows)
+    q = {r.p: (r["rank"], r.q) for r in variants.v_fdr_whole(spark, folder).collect()}
+    assert q.keys() == set(ps)
+    for p in ps:
+        assert q[p] == (sum(x <= p for x in ps), pytest.approx(min(1.0, *(x * len(ps) / sum(y <= x for y in ps) for x in ps if x >= p)), abs=2e-9))
