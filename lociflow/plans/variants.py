@@ -150,15 +150,35 @@ def v_quantiles_whole(spark: SparkSession, d: str) -> DataFrame:
 
 def v_windows(spark: SparkSession, d: str) -> DataFrame:
     """Variants within 500 kb of each study's strongest hits (p below 1e-30): how many, and the best of them."""
-    rows = canonical(spark, d)
-    leads = rows.where("p < 1e-30").select("chr", F.col("row_id").alias("lead"), (F.col("pos") - 500_000).alias("lo"), (F.col("pos") + 500_000).alias("hi"))
-    near = range_join(rows.select("chr", "pos", "p", "row_id"), leads, "chr", "pos", "lo", "hi", MEGABASE)
-    return near.groupBy("lead").agg(F.count("*").alias("n_near"), F.min("p").alias("best_p"), F.min("pos").alias("first_pos"))
+    return windows(canonical(spark, d), 1e-30)
+
+
+def v_windows_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Variants within 500 kb of every genome-wide significant hit: how many, and the best of them."""
+    return windows(canonical(spark, d), GENOME_WIDE)
+
+
+def windows(rows: DataFrame, p: float) -> DataFrame:
+    """Per lead below ``p``. Positions of variants and of leads are joined, not their rows, so dense places don't multiply."""
+    leads = rows.where(F.col("p") < p).select("chr", F.col("pos").alias("at"), F.col("row_id").alias("lead"))
+    spans = leads.select("chr", "at").distinct().withColumns({"lo": F.col("at") - 500_000, "hi": F.col("at") + 500_000})
+    places = rows.groupBy("chr", "pos").agg(F.count("*").alias("n"), F.min("p").alias("p"))
+    near = range_join(places, spans, "chr", "pos", "lo", "hi", MEGABASE)
+    found = near.groupBy("chr", "at").agg(F.sum("n").alias("n_near"), F.min("p").alias("best_p"), F.min("pos").alias("first_pos"))
+    return leads.join(found, ["chr", "at"]).select("lead", "n_near", "best_p", "first_pos")
 
 
 def v_linked_leads(spark: SparkSession, d: str) -> DataFrame:
     """Strong hits (p below 1e-20) of all studies linked where they are within 500 kb: the smallest row of each cluster."""
-    hits = canonical(spark, d).where("p < 1e-20")
+    return linked(canonical(spark, d).where("p < 1e-20"))
+
+
+def v_linked_leads_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Genome-wide significant hits of all studies linked where they are within 500 kb: the smallest row of each cluster."""
+    return linked(canonical(spark, d).where(F.col("p") < GENOME_WIDE))
+
+
+def linked(hits: DataFrame) -> DataFrame:
     # neighbours of one window are linked through its first hit of each half, so a dense window has no all-pairs list
     cells = hits.select("row_id", "chr", "pos", F.floor(F.col("pos") / 500_000).alias("cell"))
     ends = cells.groupBy("chr", "cell").agg(F.min(F.struct("pos", "row_id")).alias("lo"), F.max(F.struct("pos", "row_id")).alias("hi"))
@@ -297,7 +317,7 @@ def v_steiger(spark: SparkSession, d: str) -> DataFrame:
     return steiger(paired_regions(spark, d))
 
 
-QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_fdr_whole, v_cutoffs, v_lambda_gc, v_quantiles, v_quantiles_whole, v_windows, v_linked_leads, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
+QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_fdr_whole, v_cutoffs, v_lambda_gc, v_quantiles, v_quantiles_whole, v_windows, v_windows_whole, v_linked_leads, v_linked_leads_whole, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
 
 _FINITE = lambda c: f"CASE WHEN NOT isnan({c}) AND abs({c}) < 'inf'::DOUBLE THEN {c} END"
 _CANONICAL = f"""

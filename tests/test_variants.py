@@ -95,3 +95,20 @@ def test_quantiles_and_fdr_of_every_value(spark, tmp_path):
     assert q.keys() == set(ps)
     for p in ps:
         assert q[p] == (sum(x <= p for x in ps), pytest.approx(min(1.0, *(x * len(ps) / sum(y <= x for y in ps) for x in ps if x >= p)), abs=2e-9))
+
+
+def test_windows_and_links_of_every_hit(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, rng.choice("ab"), None, rng.choice([1, 2]), rng.choice([700_000, rng.randrange(30_000_000)]), "A", "C", 0.1, 0.1, rng.choice([0.4, 1e-8, 1e-25, 1e-40]), 0.2, 1.0, 10, None, None) for i in range(150)]
+    folder = _folder(spark, tmp_path, rows)
+    hits = [r for r in rows if r[9] < 5e-8]
+    want = {}
+    for h in hits:
+        near = [r for r in rows if r[3] == h[3] and abs(r[4] - h[4]) <= 500_000]
+        want[h[0]] = (len(near), min(r[9] for r in near), min(r[4] for r in near))
+    assert {r.lead: (r.n_near, r.best_p, r.first_pos) for r in variants.v_windows_whole(spark, folder).collect()} == want
+    cluster = {h[0]: h[0] for h in hits}
+    for _ in hits:
+        for a in hits:
+            cluster[a[0]] = min(cluster[b[0]] for b in hits if b[3] == a[3] and abs(b[4] - a[4]) <= 500_000)
+    assert {r.row_id: r.component for r in variants.v_linked_leads_whole(spark, folder).collect()} == cluster
