@@ -11,31 +11,41 @@ from pyspark.sql import functions as F
 
 #: Items (genes) of a permutation test: a vocabulary, checked, as each task draws from all of it.
 MOST_ITEMS = 200_000
+#: Draws of a set size that one row (and so one task) makes.
+BLOCK_DRAWS = 500
 
 
-def permutation_test(scores: DataFrame, members: DataFrame, item: str, score: str, group: str, draws: int = 1000, seed: int = 42) -> DataFrame:
+def permutation_test(scores: DataFrame, members: DataFrame, item: str, score: str, group: str, draws: int = 10_000, seed: int = 42) -> DataFrame:
     """(group, n_in, mean, p): how often random sets of the same size have a mean score at least as large.
 
-    p = (hits + 1) / (draws + 1). The null means are drawn once per set size, seeded by the size,
-    and sizes are spread over tasks; groups of one size share them. Items without a score don't count.
+    p = (hits + 1) / (draws + 1). The null means are drawn once per set size in blocks, each seeded by
+    its size and number and a row of its own, and the blocks' hits are added up; groups of one size
+    share them. The scores are broadcast, their number being checked. Items without a score don't count.
     """
     known = scores.where(F.col(item).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score)).select(item, score)
     rows = known.orderBy(item).limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
         raise ValueError(f"a permutation test is over a vocabulary of at most {MOST_ITEMS} items")
-    values = np.array([r[score] for r in rows], float)
+    spark = scores.sparkSession
+    shared = spark.sparkContext.broadcast(np.array([r[score] for r in rows], float))
     means = members.select(group, item).distinct().join(known, item).groupBy(group).agg(F.count("*").alias("n_in"), F.avg(score).alias("mean"))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        values = shared.value
         for batch in batches:
-            for n in batch["n_in"]:
-                rng = np.random.default_rng([seed, int(n)])
-                null = np.sort([values[rng.choice(len(values), int(n), replace=False)].mean() for _ in range(draws)])
+            for n, block in batch[["n_in", "block"]].itertuples(index=False, name=None):
+                rng = np.random.default_rng([seed, int(n), int(block)] if block else [seed, int(n)])
+                size = min(BLOCK_DRAWS, draws - block * BLOCK_DRAWS)
+                null = [values[rng.choice(len(values), int(n), replace=False)].mean() for _ in range(size)]
                 yield pd.DataFrame({"n_in": [n], "null": [null]})
 
-    nulls = means.select("n_in").distinct().mapInPandas(draw, "n_in long, null array<double>")
+    blocks = means.select("n_in").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // BLOCK_DRAWS))))
+    # a number of partitions is given, else these few small rows would end up in one task
+    spread = blocks.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "n_in", "block")
+    nulls = spread.mapInPandas(draw, "n_in long, null array<double>")
     hits = F.size(F.filter("null", lambda m: m >= F.col("mean") - 1e-12))
-    return means.join(nulls, "n_in").select(group, "n_in", "mean", ((hits + 1) / (draws + 1)).alias("p"))
+    counted = means.join(nulls, "n_in").withColumn("__hits", hits).groupBy(group).agg(F.first("n_in").alias("n_in"), F.first("mean").alias("mean"), F.sum("__hits").alias("__hits"))
+    return counted.select(group, "n_in", "mean", ((F.col("__hits") + 1) / (draws + 1)).alias("p"))
 
 
 def class_regression(items: DataFrame, members: DataFrame, item: str, y: str, size: str, cls: str, least: int = 2) -> DataFrame:

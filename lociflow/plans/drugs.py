@@ -104,18 +104,19 @@ def d_gene_ranks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def d_permutation(spark: SparkSession, d: str) -> DataFrame:
-    """Permutation test of each drug's genes by mean score, 200 draws a set size."""
+    """Permutation test of each drug's genes by mean score, 10,000 draws a set size."""
     r = records(spark, d)
-    t = permutation_test(gene_scores(r), r.select("drug", "gene"), "gene", "score", "drug", draws=200)
+    t = permutation_test(gene_scores(r), r.select("drug", "gene"), "gene", "score", "drug")
     return t.select("drug", "n_in", F.round("mean", 6).alias("mean"), F.round("p", 6).alias("p"))
 
 
 def d_class_regression(spark: SparkSession, d: str) -> DataFrame:
-    """Regression of the drugs' rank-test z on membership in each anatomical class, given the size of their gene sets."""
+    """Regression of the drugs' rank-test z on membership in each class of every level with enough drugs, given the size of their gene sets."""
     r = records(spark, d)
     tested = d_rank_sum(spark, d).select("drug", "z", "n_in")
-    classes = r.where("atc_codes is not null").select("drug", F.explode("atc_codes").alias("code")).select("drug", F.upper(F.substring(F.trim("code"), 1, 1)).alias("class")).where("class <> ''")
-    t = class_regression(tested, classes, "drug", "z", "n_in", "class")
+    codes = r.where("atc_codes is not null").select("drug", F.explode("atc_codes").alias("code")).select("drug", F.upper(F.trim("code")).alias("code"))
+    classes = codes.withColumn("l", F.explode(F.array(*map(F.lit, ATC_LENGTHS)))).where(F.length("code") >= F.col("l")).select("drug", F.expr("left(code, l)").alias("class"))
+    t = class_regression(tested, classes, "drug", "z", "n_in", "class", LEAST_DRUGS)
     return t.select("class", "n_members", *[F.round(c, 6).alias(c) for c in ("beta", "se", "t")])
 
 

@@ -3,6 +3,7 @@ import pytest
 
 from lociflow.operators.components import connected_components
 from lociflow.operators.enrichment import class_regression, permutation_test
+from lociflow.plans import drugs
 from lociflow.schemas import conform, problems
 
 
@@ -23,6 +24,17 @@ def test_permutation(spark):
     assert out["top"].p == pytest.approx((sum(m >= 28 for m in null) + 1) / 301)
 
 
+def test_registered_permutation_and_classes(spark, tmp_path):
+    columns = "drug_chembl_id string, gene_symbol string, pchembl_value double, atc_codes array<string>"
+    rows = [(f"D{d}", f"G{(7 * d + g) % 60}", 1.0 + (7 * d + g) % 60 / 6, [["N02BA01", "N02BE01", "C10AA05"][d % 3] if d < 18 else "A01"]) for d in range(30) for g in range(2 + d % 5)]
+    rows += [("TOP", f"G{g}", 1.0 + g / 6, None) for g in range(51, 60)]
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/drug_targets.parquet")
+    p = {r.drug: r.p for r in drugs.d_permutation(spark, str(tmp_path)).collect()}
+    assert len(p) == 31 and p["TOP"] < 1 / 201
+    classes = {r["class"]: r.n_members for r in drugs.d_class_regression(spark, str(tmp_path)).collect()}
+    assert classes == {"A": 12, "A01": 12, "N": 12, "N02": 12, "N02B": 12, "N02BA": 6, "N02BE": 6, "C": 6, "C10": 6, "C10A": 6, "C10AA": 6}
+
+
 def test_class_regression(spark):
     rng = np.random.default_rng(0)
     n = rng.integers(1, 40, 60)
