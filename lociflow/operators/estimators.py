@@ -66,6 +66,22 @@ def weighted_lower_median(rows: DataFrame, keys: list[str], value: str, weight:
     return placed.where((F.col("below") + F.col("__w")) * 2 >= F.col("total")).groupBy(*keys).agg(F.min(value).alias(value))
 
 
+def interpolated_median_ratio(rows: DataFrame, key: str, identity: str, bx: str, sx: str, by: str, sy: str) -> DataFrame:
+    """(key, k, ratio): weighted median of the Wald ratios (Bowden et al. 2016), for keys of three or more instruments.
+
+    Weights are inverse second-order variances. Each ratio (ties by ``identity``, unique) is placed
+    at the middle of its share of the weight; the median lies between the two around one half.
+    """
+    x, y = F.col(bx), F.col(by)
+    usable = rows.where((F.col(sx) > 0) & (F.col(sy) > 0) & (x != 0) & ~F.isnan(x) & ~F.isnan(y))
+    ratios = usable.select(key, F.struct((y / x).alias("ratio"), F.col(identity).alias("i")).alias("__at"), (1 / (F.pow(F.col(sy) / x, 2) + F.pow(y * F.col(sx) / (x * x), 2))).alias("__w"))
+    placed = running_counts(ratios, [key], "__at", "__w").withColumn("mid", (F.col("below") + F.col("__w") / 2) / F.col("total"))
+    spot = F.struct("mid", F.col("__at.ratio").alias("ratio"), F.col("__at.i").alias("i"))
+    ends = placed.groupBy(key).agg(F.count("*").alias("k"), F.max(F.when(F.col("mid") < 0.5, spot)).alias("a"), F.min(F.when(F.col("mid") >= 0.5, spot)).alias("b")).where("k >= 3")
+    between = F.col("a.ratio") + (F.col("b.ratio") - F.col("a.ratio")) * (0.5 - F.col("a.mid")) / (F.col("b.mid") - F.col("a.mid"))
+    return ends.select(key, "k", F.coalesce(between, "b.ratio", "a.ratio").alias("ratio"))
+
+
 def log_bayes_factor(beta: Column, se: Column, prior_variance: float) -> Column:
     """Wakefield's log approximate Bayes factor."""
     v = se * se

@@ -9,7 +9,7 @@ from lociflow.functions.alleles import clean_allele, complement, is_palindromic,
 from lociflow.functions.identifiers import rsid
 from lociflow.functions.stats import CHI2_MEDIAN, finite, z_of_p
 from lociflow.operators.components import connected_components
-from lociflow.operators.estimators import colocalisation, inverse_variance_meta, log_bayes_factor, mendelian_estimates, steiger_z, weighted_lower_median
+from lociflow.operators.estimators import colocalisation, interpolated_median_ratio, inverse_variance_meta, log_bayes_factor, mendelian_estimates, steiger_z, weighted_lower_median
 from lociflow.operators.merging import keep_first
 from lociflow.operators.ranges import collapse_loci, range_join
 from lociflow.operators.ranks import benjamini_hochberg, order_statistics, running_counts, value_counts
@@ -287,6 +287,17 @@ def v_ratio_median(spark: SparkSession, d: str) -> DataFrame:
     return weighted_lower_median(ratios, ["study_id"], "ratio", "weight")
 
 
+def v_weighted_median(spark: SparkSession, d: str) -> DataFrame:
+    """Interpolated weighted median of the Wald ratios per study of three or more instruments, those of ``v_mendelian_variants``."""
+    return interpolated_median_ratio(instruments(spark, d), "study_id", "row_id", "beta", "se", "o_beta", "o_se").withColumn("ratio", F.round("ratio", 6))
+
+
+def v_median_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The same over ``v_mendelian``'s instruments."""
+    strong = paired_regions(spark, d).where(F.pow(F.col("beta") / F.col("se"), 2) >= 4)
+    return interpolated_median_ratio(strong, "study_id", "row_id", "beta", "se", "o_beta", "o_se").withColumn("ratio", F.round("ratio", 6))
+
+
 def v_coloc(spark: SparkSession, d: str) -> DataFrame:
     """Colocalisation posteriors of every study with the outcome study per chromosome, over shared regions."""
     rows = paired_regions(spark, d).select("study_id", "chr", log_bayes_factor(F.col("beta"), F.col("se"), 0.04).alias("one"), log_bayes_factor(F.col("o_beta"), F.col("o_se"), 0.04).alias("two"))
@@ -317,7 +328,7 @@ def v_steiger(spark: SparkSession, d: str) -> DataFrame:
     return steiger(paired_regions(spark, d))
 
 
-QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_fdr_whole, v_cutoffs, v_lambda_gc, v_quantiles, v_quantiles_whole, v_windows, v_windows_whole, v_linked_leads, v_linked_leads_whole, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
+QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_fdr_whole, v_cutoffs, v_lambda_gc, v_quantiles, v_quantiles_whole, v_windows, v_windows_whole, v_linked_leads, v_linked_leads_whole, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_weighted_median, v_median_regions, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
 
 _FINITE = lambda c: f"CASE WHEN NOT isnan({c}) AND abs({c}) < 'inf'::DOUBLE THEN {c} END"
 _CANONICAL = f"""

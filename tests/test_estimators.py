@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociflow.functions.stats import chi2_upper, incomplete_beta, normal_two_sided, t_two_sided, upper_gamma, z_of_p
-from lociflow.operators.estimators import colocalisation, inverse_variance_meta, mendelian_estimates, weighted_lower_median
+from lociflow.operators.estimators import colocalisation, interpolated_median_ratio, inverse_variance_meta, mendelian_estimates, weighted_lower_median
 
 
 def test_mendelian_three_instruments(spark):
@@ -51,6 +51,20 @@ def test_weighted_lower_median(spark):
     assert "z" not in out
 
 
+def test_interpolated_median_ratio(spark):
+    rng = np.random.default_rng(2)
+    rows = [(g, i, float(rng.normal(0.4, 0.2)), 0.05, float(rng.normal(0.2, 0.2)), float(rng.uniform(0.02, 0.2))) for g, n in (("a", 41), ("b", 3), ("two", 2)) for i in range(n)]
+    rows += [("tie", i, 0.5, 0.05, y, s) for i, (y, s) in enumerate([(0.1, 0.03), (0.1, 0.09), (0.3, 0.05), (0.1, 0.03)])]
+    out = {r.g: r for r in interpolated_median_ratio(spark.createDataFrame(rows, "g string, i long, bx double, sx double, by double, sy double"), "g", "i", "bx", "sx", "by", "sy").collect()}
+    assert set(out) == {"a", "b", "tie"}
+    for g in out:
+        bx, sx, by, sy = np.array([r[2:] for r in rows if r[0] == g]).T
+        w = 1 / (sy**2 / bx**2 + by**2 * sx**2 / bx**4)
+        order = np.argsort(by / bx, kind="stable")
+        mid = (np.cumsum(w[order]) - w[order] / 2) / w.sum()
+        assert out[g].ratio == pytest.approx(np.interp(0.5, mid, (by / bx)[order])) and out[g].k == len(bx)
+
+
 def test_tails(spark):
     assert incomplete_beta(2.0, 3.0, 0.4) == pytest.approx(0.5248, rel=1e-12)
     assert upper_gamma(0.5, 1.920729410347062) == pytest.approx(0.05, rel=1e-9)
