@@ -9,6 +9,9 @@ from lociflow.operators.estimators import weighted_lower_median
 from lociflow.operators.profiles import consensus, extreme_sum, long_form, reversal_summary, spearman, top_contributors
 from lociflow.session import table
 
+#: Items of a profile.
+ITEMS = 64
+
 
 def profiles(spark: SparkSession, d: str) -> DataFrame:
     return long_form(table(spark, d, "embeddings"), ["vec_id", "label"], "embedding")
@@ -57,11 +60,16 @@ def s_weighted_median(spark: SparkSession, d: str) -> DataFrame:
 
 def s_label_pivot(spark: SparkSession, d: str) -> DataFrame:
     """Mean of each label's first four items, items as columns."""
-    p = profiles(spark, d).where("item < 4").groupBy("label").pivot("item", [0, 1, 2, 3]).agg(F.avg("value"))
-    return p.select("label", *[F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in range(4)])
+    return s_label_pivot_whole(spark, d).select("label", *[f"item_{i}" for i in range(4)])
+
+
+def s_label_pivot_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Mean of each label's items, all of them as columns."""
+    p = profiles(spark, d).groupBy("label").pivot("item", list(range(ITEMS))).agg(F.avg("value"))
+    return p.select("label", *[F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in range(ITEMS)])
 
 
-QUERIES = {q.__name__: q for q in (s_consensus, s_spearman, s_reversal, s_extreme_sum, s_contributors, s_weighted_median, s_label_pivot)}
+QUERIES = {q.__name__: q for q in (s_consensus, s_spearman, s_reversal, s_extreme_sum, s_contributors, s_weighted_median, s_label_pivot, s_label_pivot_whole)}
 
 _L = """l AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS value, generate_subscripts(embedding, 1) - 1 AS item FROM embeddings),
     c AS (SELECT label, item, median(value) AS value, count(*) AS n FROM l GROUP BY label, item)"""
