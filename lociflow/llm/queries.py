@@ -50,9 +50,10 @@ def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
     The whole study's come from its days' states, added up; all are read from one sort.
     """
     days = value_state(table(spark, d, "gwas_variants"), "study_id", "p", "batch_date")
-    name = lambda *fields: F.to_json(F.struct(*fields)).alias("grp")
-    daily = days.select(name(F.col("grp").alias("s"), F.col("day").cast("string").alias("d")), "value", "n")
-    whole = merge_states(days).select(name(F.col("grp").alias("s")), "value", "n")
+    # the level tells a null day, which the name leaves out, from the whole study
+    name = lambda level, *fields: F.to_json(F.struct(F.lit(level).alias("l"), *fields)).alias("grp")
+    daily = days.select(name("day", F.col("grp").alias("s"), F.col("day").cast("string").alias("d")), "value", "n")
+    whole = merge_states(days).select(name("all", F.col("grp").alias("s")), "value", "n")
     found = percentiles(daily.unionByName(whole)).withColumn("g", F.from_json("grp", "s string, d string"))
     digits = F.round(-F.log10(F.when(F.col("value") > 0, F.col("value"))), 6)
     return found.select(F.col("g.s").alias("study_id"), F.col("g.d").alias("batch_date"), "q", "n", F.round("value", 9).alias("p_value"), digits.alias("neglog10_p"))

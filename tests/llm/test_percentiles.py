@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from lociflow.llm.percentiles import merge_states, percentiles, value_state
+from lociflow.llm.queries import QUERIES
 
 
 def test_exact_with_hot_group_ties_and_dirt(spark):
@@ -27,3 +28,10 @@ def test_days_combine(spark):
 
 def test_empty(spark):
     assert percentiles(value_state(spark.createDataFrame([], "g string, p double"), "g", "p")).count() == 0
+
+
+def test_null_day_is_its_own_group(spark, tmp_path):
+    rows = [("a", None, p / 10) for p in range(3)] + [("a", "2024-01-01", p / 10) for p in range(5, 10)] + [(None, None, 0.4)]
+    spark.createDataFrame(rows, "study_id string, batch_date string, p double").selectExpr("study_id", "date(batch_date) batch_date", "p").write.parquet(f"{tmp_path}/gwas_variants.parquet")
+    got = sorted((str(r.study_id), str(r.batch_date), r.n, r.p_value) for r in QUERIES["p5_percentiles"](spark, str(tmp_path)).where("q = 0.5").collect())
+    assert got == [("None", "None", 1, 0.4), ("None", "None", 1, 0.4), ("a", "2024-01-01", 5, 0.7), ("a", "None", 3, 0.1), ("a", "None", 8, 0.55)]
