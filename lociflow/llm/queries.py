@@ -9,7 +9,7 @@ from lociflow.llm.fusion import retained_values, source_quality, survivors
 from lociflow.llm.matching import match_drugs
 from lociflow.llm.mixing import mix
 from lociflow.llm.percentiles import merge_states, percentiles, value_state
-from lociflow.llm.spam import find_spam, spam_scores
+from lociflow.llm.spam import find_spam, spam_signs
 from lociflow.llm.tokens import encode_documents, token_counts
 from lociflow.session import table
 
@@ -90,9 +90,10 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Coherence and spam share of every document."""
-    scores = spam_scores(table(spark, d, "documents"))
-    return scores.select("doc_id", "n_pairs", *[F.round(c, 4).alias(c) for c in ("pmi", "incoherent", "repeated", "spam_share")], "suspected", "spam")
+    """Mean PMI and the shares of incoherent and of over-repeated pairs of every document, and the verdict."""
+    signs = spam_signs(table(spark, d, "documents"))
+    rounded = [F.round(c, 4).alias(c) for c in ("pmi", "incoherent", "repeated")]
+    return signs.select("doc_id", "n_pairs", *rounded, "suspected", "spam")
 
 
 QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p5_percentiles, p5_medians, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_scores)}

@@ -1,358 +1,348 @@
 """Keyword-stuffed pages and link lists, found by the coherence of neighbouring words.
 
-One pass over the corpus counts words and pairs of neighbouring words into count-min sketches of a
-fixed size, so that what is gathered has a size bound whatever the corpus. A second pass scores
-every document by the mean pointwise mutual information of its neighbouring words, its own
-occurrences taken out of the counts: strung-together keywords and pieces of addresses hardly ever
-follow each other elsewhere. Collocations repeated over and over within a document are the other
-sign. Each distinct text is counted once, so copies of a page don't lend it coherence. The signs are
-reported, but drop nothing, as a full sketch hides them: every document is checked passage by
-passage for links, hash tags, product tags, spelt-out or digit-for-letter words, and passages
-without function words whose words recur.
+Every text is tokenised once and the word ids are kept in the shared folder. Each distinct text
+counts once for a pair of neighbouring words, however often the pair or the text is repeated.
+
+* Mean PMI. A pair's pointwise mutual information comes from the corpus' counts without the text
+  itself. A pair below ``least_pmi``, or seen in no other text, is incoherent: strung-together
+  keywords, product tags and pieces of addresses hardly ever follow each other in speech.
+* Repeated collocations. A pair that a text uses over and over, far above the corpus' rate.
+
+Spam is common enough that its own pairs look coherent to each other, so PMI is taken twice: first
+over all texts, then with the texts that the first round suspects held apart. A pair that is found
+more often in suspected than in trusted texts counts as unseen in the second round.
+
+The counts of the ``frequent`` most common pairs (a fixed number) are looked up within the tasks;
+all rarer pairs meet their counts in an exact join, where no pair is hot because the hot ones are
+in the first table. Nothing is sampled, and thresholds are ratios, so they don't move with size.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Frequent function words of the corpus' languages.
-FUNCTION_WORDS = """
-the a an and or but if of to in on at by for with from is are was were be it its it's he she they we you i me my your our their his
-her that this there here not no don't can't won't never who what where when how why whether had have has do did does would could
-will only just about before after until as so that's us them all some any every nobody somebody everything anything nothing up down
-der die das ein eine einen einem einer und oder aber wenn von zu im in am an auf mit für ist sind war waren es er sie wir ihr ich
-mir mich mein meine dein deine nicht kein keine wer was wo wann wie warum hat habe haben muss müssen kann können wird würde noch nur
-schon da hier den dem des dass nach bis vor ohne man um neben uns alles niemand jemand immer jede jeden jeder hast du dir bitte
-el la los las un una unos y o pero si de del a al en con por para es son era fue está lo le les yo tú mi tu su no ni que qué quién
-dónde cuándo cómo cuánto ha he hay tenemos ya sin se me te nos todo nada nadie alguien esta este esa ese como nunca allá
-des et ou mais du au aux dans avec pour par est sont était c'est ce cette ces il elle ils elles nous vous je j'ai mon ma mes ton ta
-tes son sa ses ne pas qui quoi où quand comment pourquoi combien ai ont on moi toi jamais rien personne tout n'est sans doit
-и в во не на я ты он она мы вы они это эта этот эту та тот ту что кто где когда как почему зачем сколько у мне меня тебе тебя мой
-моя моё твой твоя твою мою его её их с со без но а или если был была было были надо нужно нам вас нас там тут здесь уже только
-просто чья чей никто никогда ничего нельзя всё все за до по от для про к о об из ещё одна один
-""".split()
+from lociflow.operators.skew import salted_join
+from lociflow.session import written
 
 
 @dataclass(frozen=True)
 class SpamModel:
-    """Sizes of the sketches and thresholds.
-
-    ``words`` and ``pairs`` are the binary logarithms of the sketches' widths; each has two rows.
-    A document is suspected (reported only) if its mean PMI is below ``least_pmi``, or the share of pairs that are
-    incoherent (PMI below 0) is above ``most_incoherent``, or the share of pairs that it repeats
-    ``repeats`` times or more is above ``most_repeated``, or fewer than ``least_common`` of its
-    words are among the frequent ones that hold sentences together (``frequent`` of the corpus
-    each), or it has fewer than ``least_pairs`` pairs. It is spam if more than ``most_spam`` of its
-    letters are in passages of spam.
+    """Thresholds.
+
+    A pair is incoherent below ``least_pmi``, and over-repeated if a text has it ``repeats`` times
+    and ``lift`` times as often as the corpus. The first round suspects a text by any of
+    ``suspect_incoherent`` and ``suspect_repeated`` (shares of its letters in such pairs) or a mean
+    PMI below ``suspect_pmi`` times the corpus' mean. A text is spam if, in the second round, more than
+    ``most_incoherent`` of its letters are in incoherent pairs, or more than ``most_repeated`` in
+    over-repeated ones while its mean PMI is below that of speech (songs repeat coherent lines), and
+    it has ``least_pairs`` pairs. ``frequent`` is the number of pairs whose
+    counts every task holds; it bounds memory and changes no result.
     """
 
-    words: int = 18
-    pairs: int = 21
-    least_pmi: float = 2.0
-    most_incoherent: float = 0.1
+    least_pmi: float = 0.5
+    smoothing: float = 0.5
     repeats: int = 3
-    most_repeated: float = 0.35
-    frequent: float = 0.002
-    least_common: float = 0.4
-    least_pairs: int = 8
-    most_spam: float = 0.5
-    smoothing: float = 0.05
-
-
-CHUNK = 1 << 20
-#: Binary logarithm of the number of sketch cells that are gathered in one row.
-BLOCK = 14
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(ord("a"), ord("z") + 1), ord("'"), *range(128, 256)]] = True
-_POWERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)], np.uint64)
-
-
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, index of its text) of lower-cased words (letters and apostrophes) in order."""
-    raw = [t.lower().encode("utf-8", "replace") for t in texts]
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    letter = _LETTER[data]
-    edge = np.flatnonzero(np.diff(np.r_[False, letter, False]))
-    starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    at = np.flatnonzero(letter)
-    position = at - np.repeat(starts, ends - starts)
-    mixed = data[at].astype(np.uint64) * _POWERS[position & 63]
-    mixed ^= mixed >> np.uint64(29)
-    hashes = np.add.reduceat(mixed, np.r_[0, np.cumsum(ends - starts)[:-1]])
-    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    limits = np.cumsum([len(r) + 1 for r in raw])
-    return hashes, np.searchsorted(limits, starts, side="right")
-
-
-def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int, list[str]]]:
-    """(first, last + 1, texts) of runs of texts of about a megabyte; a longer text is a run of its own."""
-    first, size, run = 0, 0, []
-    for i, t in enumerate(texts):
-        if run and size + len(t or "") > CHUNK:
-            yield first, i, run
-            first, size, run = i, 0, []
-        run.append(t or "")
-        size += len(t or "")
-    if run:
-        yield first, len(texts), run
-
-
-def _slots(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << width) - 1)
-    return (hashes >> np.uint64(40)) & mask, (hashes * np.uint64(0xA24BAED4963EE407) >> np.uint64(39)) & mask
-
-
-def _pairs(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each pair of neighbours in one text, index of its first word)."""
-    same = np.flatnonzero(owner[1:] == owner[:-1])
-    joined = (hashes[same] * np.uint64(0x9FB21C651E98DF25)) ^ (hashes[same + 1] >> np.uint64(3)) ^ (hashes[same + 1] << np.uint64(61))
-    return (joined ^ (joined >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93), same
-
-
-def corpus_counts(documents: DataFrame, model: SpamModel = SpamModel(), text: str = "text") -> tuple[np.ndarray, np.ndarray, int]:
-    """(word sketch, pair sketch, number of words) over all distinct texts.
-
-    Each task adds up sketches of a fixed size and emits their non-zero cells; Spark sums the
-    cells block by block and packs every block into one row of bytes. The driver gets
-    2 * (2**words + 2**pairs) numbers of 8 bytes, whatever the corpus.
-    """
-    sizes = ((0, model.words), (1, model.pairs))
+    lift: float = 60.0
+    suspect_incoherent: float = 0.25
+    suspect_repeated: float = 0.3
+    suspect_pmi: float = 0.6
+    most_incoherent: float = 0.5
+    most_repeated: float = 0.8
+    least_pairs: int = 6
+    frequent: int = 1 << 18
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cells = {k: np.zeros((2, 1 << width), np.int64) for k, width in sizes}
-        for batch in batches:
-            for _, _, run in _chunks(batch[text].tolist()):
-                hashes, owner = word_hashes(run)
-                pairs, _ = _pairs(hashes, owner)
-                for (k, width), h in zip(sizes, (hashes, pairs), strict=True):
-                    for row, slot in enumerate(_slots(h, width)):
-                        np.add.at(cells[k][row], slot.astype(np.int64), 1)
-        for k, width in sizes:
-            flat = cells[k].ravel()
-            hit = np.flatnonzero(flat)
-            for i in range(0, len(hit), 1 << 17):
-                part = hit[i : i + (1 << 17)]
-                cell = part + (k << 40)
-                yield pd.DataFrame({"block": cell >> BLOCK, "cell": cell, "n": flat[part]})
-
-    def pack(block: pd.DataFrame) -> pd.DataFrame:
-        cells = np.zeros(1 << BLOCK, np.int64)
-        cells[block["cell"].to_numpy() & ((1 << BLOCK) - 1)] = block["n"].to_numpy()
-        return pd.DataFrame({"block": block["block"].iloc[:1], "cells": [cells.tobytes()]})
-
-    distinct = documents.select(text, F.md5(text).alias("__hash")).dropDuplicates(["__hash"]).select(text)
-    counted = distinct.mapInPandas(count, "block long, cell long, n long")
-    # cells of one block go to one place once; summing and packing need no further shuffle
-    summed = counted.repartition("block").groupBy("block", "cell").agg(F.sum("n").alias("n"))
-    blocks = summed.groupBy("block").applyInPandas(pack, "block long, cells binary").toPandas()
-    out = [np.zeros(2 << width, np.int64) for _, width in sizes]
-    for block, cells in zip(blocks["block"], blocks["cells"], strict=True):
-        kind, first = block >> (40 - BLOCK), (block & ((1 << (40 - BLOCK)) - 1)) << BLOCK
-        out[kind][first : first + (1 << BLOCK)] = np.frombuffer(cells, np.int64)[: len(out[kind]) - first]
-    out = [flat.reshape(2, -1) for flat in out]
-    return out[0], out[1], int(out[0][0].sum())
-
-
-def coherence(texts: list[str], words: np.ndarray, pairs: np.ndarray, total: int, model: SpamModel) -> pd.DataFrame:
-    """Per text: number of pairs, mean PMI, share of incoherent pairs, of repeated pairs and of common words."""
-    hashes, owner = word_hashes(texts)
-    joined, at = _pairs(hashes, owner)
-    n_texts = len(texts)
-    if not len(joined):
-        return pd.DataFrame({"n": np.zeros(n_texts, np.int64), "pmi": 0.0, "incoherent": 0.0, "repeated": 0.0, "common": 0.0})
-    look = lambda sketch, h, width: np.minimum(*(sketch[row][slot.astype(np.int64)] for row, slot in enumerate(_slots(h, width))))
-
-    def own(h: np.ndarray, who: np.ndarray) -> np.ndarray:
-        _, inverse, n = np.unique((h >> np.uint64(16)) | (who.astype(np.uint64) << np.uint64(48)), return_inverse=True, return_counts=True)
-        return n[inverse]
-
-    mine = own(joined, owner[at])
-    seen = look(words, hashes, model.words)
-    single = np.maximum(seen - own(hashes, owner), 0) + 1
-    common = np.bincount(owner, weights=seen > model.frequent * total, minlength=n_texts) / np.maximum(np.bincount(owner, minlength=n_texts), 1)
-    both = np.maximum(look(pairs, joined, model.pairs) - mine, 0) + model.smoothing
-    pmi = np.log(both * max(total, 1) / (single[at].astype(float) * single[at + 1]))
-    n = np.bincount(owner[at], minlength=n_texts)
-    mean = lambda x: np.bincount(owner[at], weights=x, minlength=n_texts) / np.maximum(n, 1)
-    return pd.DataFrame({"n": n, "pmi": mean(pmi), "incoherent": mean(pmi < 0), "repeated": mean(mine >= model.repeats), "common": common})
-
-
-# The check of suspected documents.
+
+# Cleaning and tokens.
 
 _TIME = re.compile(r"\d+:\d\d(?::\d\d)?[.,]\d+\s*\S{1,3}\s*\d+:\d\d(?::\d\d)?(?:[.,]\d+)?[^\n]*")
-_LINK = re.compile(
-    r"<a\s[^>]*>.*?</a>|\[url=?[^\]]*\].*?\[/url\]|\[[^\]\n]*\]\([^)\s]*\)"
-    r"|(?:h(?:tt|xx)ps?://|(?:www|w w w)\s?\.?\s?)[^\s<>\[\]]+(?:\s?\.?\s?(?:example|test|invalid))?\S*"
-    r"|[\w@-]+\s?(?:\.|\(\.\)|\[\.\]|\[dot\]|\(dot\)| dot )\s?(?:com|net|org|info|biz|ru|de|fr|es|example|test|invalid)\b\S*", re.IGNORECASE)
-_WORD = re.compile(r"[^\W_]+(?:[|'’][^\W_]+)*")
-_TAG = re.compile(r"#[^\W\d_][\w|]*")
-_PRODUCT = re.compile(r"\b(?:sku|art|no|ref|item|nr)[.:\s-]{0,3}\d{3,}|[€$£]\s?\d+[.,]\d\d|\b(?:eur|usd|gbp)\s?\d+[.,]\d\d|>>>.*<<<|\b[s5][0o]?\d\d?e\d\d\b", re.IGNORECASE)
-_SPELT = re.compile(r"(?<![^\W_])(?:[^\W_][.\-_*]){2,}[^\W_](?![^\W_])")
-_SHOUT = re.compile(r"\b[^\W\d_a-z]{2,}!!")
-_DIGITS = re.compile(r"(?=[^\W_]*[^\W\d_])(?=[^\W_]*[2346789])[^\W_]+")
-#: Anything but words, plain punctuation and blanks.
-_UNUSUAL = re.compile(r"[^\w\s.,;:!?…'’\"«»¿¡-]|[0-9_]|[.!]\w|\w-\w-|\w[|]|!!")
-_LETTERS = re.compile(r"[^\W\d_]|�")
-_ASIDE = re.compile(r"\[[^\]]*\]|\([^)]*\)|\*[^*]*\*")
-_LOOKALIKE = str.maketrans({"0": "o", "1": "i", "5": "s", "l": "i", "c": "e", "|": "i", "’": "'"})
+_MARKUP = re.compile(r"\{[^}]*\}|</?(?:i|b|u|font)\b[^>]*>")
+#: Words with inner apostrophes, ends of sentences and lines, and lost characters.
+_TOKEN = re.compile(r"[^\W_]+(?:['’|][^\W_]+)*|[.!?…♪]+(?=\s|$)|\n|�+")
 #: What only texts read in a wrong encoding have: odd pairs, or three accented letters in a row.
-_MISREADABLE = re.compile("[ÃÂÐÑâ][\u0080-¿€-™]|[РС][\u0080-\u00bfЂ-Џђ-џ‐-™]|[À-ÿ]{3}|в[™„Ђ€]")
+_MISREAD = re.compile("[ÃÂÐÑâ][\u0080-¿€-™]|[РСГВ][\u0080-¿Ђ-Џђ-џ‐-™]|[À-ÿ]{3}|в[™„Ђ€]|�")
 #: Encodings that texts are wrongly read in: (read as, really).
-_MISREAD = (("cp1252", "utf-8"), ("latin-1", "utf-8"), ("cp1251", "utf-8"), ("latin-1", "cp1251"), ("cp1252", "cp1251"))
+_ENCODINGS = (
+    ("cp1252", "utf-8"), ("latin-1", "utf-8"), ("cp1251", "utf-8"), ("latin-1", "cp1251"), ("cp1252", "cp1251"),
+)
+#: Characters that character recognition mixes up, as one.
+_LOOKALIKE = str.maketrans({"0": "o", "1": "i", "5": "s", "|": "i", "l": "i", "c": "e", "’": "'"})
+BREAK, NUMBER, LOST = 0, 1, 2
+_LENGTH = 31
+MOST_CACHED = 300_000
+
+
+class WordIds(dict):
+    """Word -> id, worked out once a word; forgotten when it grows beyond ``MOST_CACHED``."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MOST_CACHED:
+            self.clear()
+        if word[0] == "�":
+            found = LOST
+        elif not word[0].isalnum():
+            found = BREAK
+        elif word.isdigit():
+            found = NUMBER
+        else:
+            found = _word_id(word)
+        self[word] = found
+        return found
 
 
-@lru_cache(maxsize=100_000)
-def _shape(word: str) -> str:
-    """The word without accents and with characters that recognition mixes up made one."""
-    plain = "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
-    return plain.replace("rn", "m").replace("vv", "w").translate(_LOOKALIKE)
+def _word_id(word: str) -> int:
+    """A 63-bit hash of the word without accents and look-alike letters; its low five bits are its length."""
+    bare = "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+    bare = bare.translate(_LOOKALIKE).replace("rn", "m").replace("vv", "w")
+    return (xxhash.xxh3_64_intdigest(bare) >> 1) & ~_LENGTH | min(max(len(bare), 1), _LENGTH)
 
 
-_FUNCTION = frozenset(map(_shape, FUNCTION_WORDS))
-_SPELLED = frozenset(FUNCTION_WORDS)
+def _reread(line: str) -> str:
+    """The line in the encoding it was written in, or only its length as lost characters if that can't be told."""
+    tries = [line]
+    for _ in range(2):  # some texts were misread twice
+        further = []
+        for text in tries:
+            for wrong, right in _ENCODINGS:
+                try:
+                    other = text.encode(wrong).decode(right)
+                except UnicodeError:
+                    continue
+                if not _MISREAD.search(other):
+                    return other
+                further.append(other)
+        tries = further
+    return "�" * len(line)
+
+
+def word_ids(text: str, ids: dict[str, int]) -> tuple[list[int], int]:
+    """(ids of the words and breaks in order, number of characters that can't be read)."""
+    text = text.replace("﻿", "").replace("\r\n", "\n").replace("\r", "\n")
+    text = _MARKUP.sub("", _TIME.sub("\n", text))
+    if _MISREAD.search(text):
+        text = "\n".join(_reread(line) if _MISREAD.search(line) else line for line in text.split("\n"))
+    lost = text.count("�")
+    return [ids[w] for w in _TOKEN.findall(text.lower())], lost
+
+
+def tokenised(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, copy_of, words, lost) of every document; texts of the same words share ``copy_of``.
+
+    Null and blank texts have no words.
+    """
 
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = WordIds()
+        for batch in batches:
+            flat, offsets, prints, losses = [], [0], [], []
+            for value in batch.column(1):
+                words, lost = word_ids(value.as_py() or "", ids)
+                print_ = xxhash.xxh3_64_intdigest(np.array([w for w in words if w], np.int64).tobytes(), seed=lost)
+                flat.extend(words)
+                offsets.append(len(flat))
+                prints.append(print_ >> 1)
+                losses.append(lost)
+            words = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
+            columns = [batch.column(0).cast(pa.int64()), pa.array(prints, pa.int64()), words, pa.array(losses, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [key, "copy_of", "words", "lost"])
 
-def _functional(shape: str) -> bool:
-    return shape in _FUNCTION or ("'" in shape and any(p in _FUNCTION for p in shape.split("'")))
+    return documents.select(key, text).mapInArrow(tokenise, f"{key} long, copy_of long, words array<long>, lost long")
 
 
-def _reread(line: str) -> str:
-    """The line in the encoding in which most of its words are function words or Cyrillic."""
+# Pairs of neighbours, in numpy within the tasks.
 
-    def good(s: str) -> float:
-        shapes = [_shape(w) for w in _WORD.findall(s)]
-        return sum(map(_functional, shapes)) + sum("а" <= c <= "я" for c in s.lower()) / max(1, len(s)) - 0.2 * sum(c in "ÃÂÐÑâ€РС™" for c in s)
 
-    best, seen = line, line
-    for _ in range(2):  # some texts were misread twice
-        for wrong, right in _MISREAD:
-            try:
-                other = seen.encode(wrong, "ignore").decode(right, "ignore")
-            except UnicodeError:
-                continue
-            if len(other) > len(seen) // 3 and good(other) > good(best):
-                best = other
-        if best is seen:
-            break
-        seen = best
-    return best
-
-
-def _passages(text: str) -> Iterator[str]:
-    text = _TIME.sub("\n", text.replace("﻿", "").replace("\r\n", "\n").replace("\r", "\n"))
-    for line in text.split("\n"):
-        line = re.sub(r"\{[^}]*\}|</?(?:i|b|u|font)\b[^>]*>", "", line).strip()
-        if line != "WEBVTT" and _LETTERS.search(line):
-            yield _reread(line) if _MISREADABLE.search(line) else line
-
-
-def _size(text: str) -> int:
-    return len(_LETTERS.findall(text))
-
-
-def _is_list(text: str) -> bool:
-    """Three or more short items between list marks."""
-    items = re.split(r"\s+[/|•+·-]\s+|\s*;\s*", text)
-    return len(items) >= 3 and all(len(_WORD.findall(i)) <= 4 for i in items)
-
-
-def spam_share(text: str) -> float:
-    """The share of a text's letters (and links' characters) that are in strung-together keywords, links or tags."""
-    spam = whole = 0
-    loose: list[tuple[list[str], int, bool]] = []
-    for line in _passages(text):
-        if not _UNUSUAL.search(line):  # plain words: by far the most lines end here, as sentences
-            words = [w.strip(".,;:!?…'’\"«»¿¡-") for w in line.lower().split()]
-            if sum(w in _SPELLED for w in words) * 4 >= len(words):
-                whole += sum(map(len, words))
-                continue
-        links = sum(map(len, _LINK.findall(line)))
-        rest = _LINK.sub(" ", line)
-        spam, whole = spam + links, whole + links
-        if "♪" in rest or re.match(r"^\s*[\[(*].*[\])*]\s*$", rest):  # songs and sounds
-            whole += _size(rest)
-            continue
-        if _PRODUCT.search(rest) or _is_list(rest):
-            spam, whole = spam + _size(rest), whole + _size(rest)
-            continue
-        rest = _ASIDE.sub(" ", rest)
-        for pattern in (_TAG, _SPELT, _SHOUT):
-            n = sum(_size(x) for x in pattern.findall(rest))
-            spam, whole, rest = spam + n, whole + n, pattern.sub(" ", rest)
-        for sentence in re.split(r"(?<=[.!?…])\s+(?!\s*$)", rest):
-            words = _WORD.findall(sentence)
-            coded = [w for w in words if _DIGITS.fullmatch(w)]
-            n = sum(map(_size, coded))
-            spam, whole = spam + n, whole + n
-            words = [w for w in words if not _DIGITS.fullmatch(w) and not w.isdigit()]
-            n = sum(map(_size, words)) + sentence.count("�")
-            whole += n
-            shapes = [_shape(w) for w in words]
-            glue = sum(map(_functional, shapes))
-            if words and "�" not in sentence and (glue == 0 if len(words) < 4 else glue < 0.2 * len(words)):
-                loose.append((shapes, n, bool(re.search(r"[.!?…]['\"»”]?\s*$", sentence))))
-    found = Counter(w for shapes, _, _ in loose for w in set(shapes))
-    pairs = Counter(p for shapes, _, _ in loose for p in zip(shapes, shapes[1:], strict=False))
-    for shapes, n, ended in loose:
-        recurring = sum(found[w] >= 3 or shapes.count(w) > 1 for w in shapes) / len(shapes)
-        paired = any(pairs[p] >= 2 for p in zip(shapes, shapes[1:], strict=False))
-        if len(shapes) == 1:
-            hit = found[shapes[0]] >= 4 and not ended
-        elif len(shapes) < 4:
-            hit = not ended and (paired or recurring >= 0.99)
-        else:
-            hit = recurring >= 0.5 or paired
-        spam += n * hit
-    return spam / max(whole, 1)
+def _neighbours(words: pa.ListArray) -> tuple[np.ndarray, ...]:
+    """(row, first word, second word, times, letters) of every distinct pair of each row.
 
+    Two numbers, or a word and itself (la la la), tell nothing.
+    """
+    lengths = words.value_lengths().to_numpy(zero_copy_only=False)
+    flat = words.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    a, b = flat[:-1], flat[1:]
+    at = np.flatnonzero((row[1:] == row[:-1]) & (a != b) & (a != BREAK) & (b != BREAK) & (a != LOST) & (b != LOST))
+    row, a, b = row[at], a[at], b[at]
+    order = np.lexsort((pair_id(a, b), row))
+    row, a, b = row[order], a[order], b[order]
+    new = np.r_[True, (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(row)]
+    starts = np.flatnonzero(new)
+    times = np.diff(np.r_[starts, len(row)])
+    row, a, b = row[starts], a[starts], b[starts]
+    return row, a, b, times, times * ((a & _LENGTH) + (b & _LENGTH))
+
+
+def pair_id(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 63-bit hash of two word ids in order."""
+    x = a.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) ^ (b.astype(np.uint64) >> np.uint64(3)) ^ (b.astype(np.uint64) << np.uint64(61))
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x ^ (x >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
+
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(pair, a, b, n): in how many texts each pair of neighbours occurs, added up within the tasks first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, a, b, _, _ = _neighbours(batch.column(0))
+            pair, first, n = np.unique(pair_id(a, b), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pair, a[first], b[first], n)], ["pair", "a", "b", "n"])
 
-def _share(text: str | None) -> float | None:
-    return spam_share(text) if text and text.strip() else None
+    counted = texts.select("words").mapInArrow(count, "pair long, a long, b long, n long")
+    return counted.groupBy("pair").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.sum("n").alias("n"))
 
 
-def spam_scores(documents: DataFrame, model: SpamModel = SpamModel(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document: doc_id, n_pairs, pmi, incoherent, repeated, suspected, spam_share, spam.
+def with_margins(counts: DataFrame) -> DataFrame:
+    """(pair, trusted, suspected, used, left, right, any_left, any_right).
 
-    Null, empty and blank texts have no pairs and no ``spam_share`` (null) and are no spam;
-    repeated rows are judged each. No shuffle in this pass.
+    ``left`` and ``right`` add up ``used`` over all pairs with the same first or second word, the
+    ``any_`` columns the texts of either kind. Pairs found more often in suspected than in trusted
+    texts have ``used`` 0.
     """
-    words, pairs, total = corpus_counts(documents, model, text)
-    shared = documents.sparkSession.sparkContext.broadcast((words.astype(np.int32) if total < 2**31 else words, pairs.astype(np.int32) if total < 2**31 else pairs))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        word_sketch, pair_sketch = shared.value
+    counted = counts.withColumn("used", F.when(F.col("trusted") >= F.col("suspected"), F.col("trusted")).otherwise(0))
+    either = F.sum(F.col("trusted") + F.col("suspected"))
+    left = counted.groupBy("a").agg(F.sum("used").alias("left"), either.alias("any_left"))
+    right = counted.groupBy("b").agg(F.sum("used").alias("right"), either.alias("any_right"))
+    wide = salted_join(salted_join(counted, left, "a", F.col("b"), salts=4), right, "b", F.col("a"), salts=4)
+    return wide.select("pair", "used", *COUNTS)
+
+
+COUNTS = ("trusted", "suspected", "left", "right", "any_left", "any_right")
+SUMS = ("letters", "incoherent", "repeated", "pmi")
+
+
+def _signs(model: SpamModel, total, pair, trust, times, size, letters, own_left, own_right):
+    """Letters x (informative, incoherent, over-repeated, PMI) of pairs, whose corpus counts exclude their own text."""
+    trusted, suspected = pair["trusted"] - trust, pair["suspected"] - (1 - trust)
+    seen = np.where(trusted >= suspected, np.maximum(trusted, 0), 0)
+    left = np.maximum(pair["left"] - own_left * trust, 0)
+    right = np.maximum(pair["right"] - own_right * trust, 0)
+    # nothing is known of two words that no other text has
+    known = (pair["any_left"] > own_left) | (pair["any_right"] > own_right)
+    with np.errstate(divide="ignore"):
+        pmi = np.log(seen * total / (np.maximum(left, 1) * np.maximum(right, 1)))
+    never = np.minimum(np.log(model.smoothing * total / ((left + 1.0) * (right + 1.0))), 0)
+    pmi = np.where(seen > 0, pmi, never)
+    lift = times / size * total / (seen + model.smoothing)
+    repeated = (times >= model.repeats) & (lift > model.lift)
+    weight = letters * known
+    return weight, weight * (pmi < model.least_pmi), letters * repeated, weight * pmi
+
+
+def text_signs(texts: DataFrame, counts: DataFrame, model: SpamModel) -> DataFrame:
+    """(copy_of, lost, n_pairs, letters, incoherent, repeated, pmi) of every distinct text.
+
+    ``texts``: copy_of, words, lost, trusted (1 or 0); ``counts``: as of ``with_margins``. Sums over
+    letters; a text without pairs has zeros.
+    """
+    spark = texts.sparkSession
+    total = float(counts.agg(F.coalesce(F.sum("used"), F.lit(0))).first()[0] or 1)
+    top = counts.orderBy(F.desc(F.col("trusted") + F.col("suspected")), "pair").limit(model.frequent).drop("used").toArrow()
+    table = {c: np.asarray(top.column(c).to_numpy(), np.int64) for c in ("pair", *COUNTS)}
+    order = np.argsort(table["pair"])
+    shared = spark.sparkContext.broadcast({c: v[order] for c, v in table.items()})
+    rest_type = pa.struct([("pair", pa.int64()), ("times", pa.int64()), ("letters", pa.int64()), ("own_left", pa.int64()), ("own_right", pa.int64())])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
         for batch in batches:
-            for first, last, run in _chunks(batch[text].tolist()):
-                s = coherence(run, word_sketch, pair_sketch, total, model)
-                signs = (s.pmi < model.least_pmi) | (s.incoherent > model.most_incoherent) | (s.repeated > model.most_repeated) | (s.common < model.least_common) | (s.n < model.least_pairs)
-                share = [_share(t) for t in run]
-                suspected = signs.to_numpy() & np.array([x is not None for x in share], bool)
-                yield pd.DataFrame({key: batch[key].to_numpy()[first:last], "n_pairs": s.n, "pmi": s.pmi, "incoherent": s.incoherent, "repeated": s.repeated, "suspected": suspected, "spam_share": share, "spam": [x is not None and x > model.most_spam for x in share]})
-
-    return documents.select(key, text).mapInPandas(score, f"{key} long, n_pairs long, pmi double, incoherent double, repeated double, suspected boolean, spam_share double, spam boolean")
+            rows = batch.num_rows
+            trust_of = batch.column(3).to_numpy(zero_copy_only=False)
+            row, a, b, times, letters = _neighbours(batch.column(1))
+            size = np.bincount(row, weights=times, minlength=rows)
+            own_left, own_right = _times_in_row(row, a), _times_in_row(row, b)
+            pair = pair_id(a, b)
+            at = np.minimum(np.searchsorted(known["pair"], pair), max(len(known["pair"]) - 1, 0))
+            hit = known["pair"][at] == pair if len(known["pair"]) else np.zeros(len(pair), bool)
+            found = {c: v[at[hit]] for c, v in known.items()}
+            signs = _signs(model, total, found, trust_of[row[hit]], times[hit], size[row[hit]], letters[hit], own_left[hit], own_right[hit])
+            sums = [pa.array(np.bincount(row[hit], weights=s, minlength=rows)) for s in signs]
+            rest = pa.StructArray.from_arrays([pa.array(x[~hit]) for x in (pair, times, letters, own_left, own_right)], fields=list(rest_type))
+            ends = np.r_[0, np.cumsum(np.bincount(row[~hit], minlength=rows))].astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)
+            columns = [batch.column(0), batch.column(2), batch.column(3), pa.array(size.astype(np.int64)), *sums, listed]
+            yield pa.RecordBatch.from_arrays(columns, ["copy_of", "lost", "trusted", "n_pairs", *SUMS, "rest"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
+            signs = _signs(model, total, c, c["trust"], c["times"], c["n_pairs"], c["letters"], c["own_left"], c["own_right"])
+            yield pa.RecordBatch.from_arrays([pa.array(c["copy_of"]), *[pa.array(s.astype(float)) for s in signs]], ["copy_of", *SUMS])
+
+    sums = ", ".join(f"{s} double" for s in SUMS)
+    pairs = "array<struct<pair:long,times:long,letters:long,own_left:long,own_right:long>>"
+    schema = f"copy_of long, lost long, trusted long, n_pairs long, {sums}, rest {pairs}"
+    looked = written(texts.select("copy_of", "words", "lost", "trusted").mapInArrow(look_up, schema))
+    rare = looked.select("copy_of", F.col("trusted").alias("trust"), "n_pairs", F.explode("rest").alias("r"))
+    # the frequent pairs are out of it, so no pair here is in more than one in ``frequent`` of all places
+    met = rare.select("copy_of", "trust", "n_pairs", "r.*").join(counts.drop("used"), "pair")
+    judged = met.drop("pair").mapInArrow(judge, f"copy_of long, {sums}")
+    parts = looked.drop("rest", "trusted").unionByName(judged, allowMissingColumns=True)
+    added = [F.sum(s).alias(s) for s in SUMS]
+    return parts.groupBy("copy_of").agg(F.max("lost").alias("lost"), F.max("n_pairs").alias("n_pairs"), *added)
+
+
+def _times_in_row(row: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """How many distinct pairs of its row have the word in this place."""
+    if not len(row):
+        return np.zeros(0, np.int64)
+    order = np.lexsort((word, row))
+    r, w = row[order], word[order]
+    starts = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (w[1:] != w[:-1])])
+    runs = np.diff(np.r_[starts, len(r)])
+    out = np.empty(len(r), np.int64)
+    out[order] = np.repeat(runs, runs)
+    return out
+
+
+def shares(signs: DataFrame) -> DataFrame:
+    """(copy_of, n_pairs, pmi, incoherent, repeated): the mean PMI and the shares of a text's letters in pairs of each sign.
+
+    What can't be read counts as text without any sign.
+    """
+    whole = F.col("letters") + 2 * F.col("lost")
+    share = {c: F.coalesce(F.try_divide(F.col(c), whole), F.lit(0.0)) for c in ("incoherent", "repeated")}
+    mean = F.try_divide(F.col("pmi"), F.col("letters")).alias("pmi")
+    return signs.select("copy_of", "n_pairs", mean, *[s.alias(c) for c, s in share.items()])
 
 
-def find_spam(documents: DataFrame, model: SpamModel = SpamModel(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The doc_id of every page that is mostly strung-together keywords, links or product tags.
+def spam_signs(documents: DataFrame, model: SpamModel = SpamModel(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every document: key, n_pairs, pmi (mean), incoherent, repeated, suspected (in the first round), spam.
 
-    The same as the ``spam`` rows of ``spam_scores``, in one pass without the corpus' counts.
+    Null, empty and blank texts have no pairs, a null mean and are no spam; copies of a text get
+    the same figures; an empty table gives no rows; further columns are ignored.
     """
+    tokens = written(tokenised(documents, key, text))
+    texts = written(tokens.dropDuplicates(["copy_of"]).select("copy_of", "words", "lost", F.lit(1).cast("long").alias("trusted")))
+    every = written(pair_counts(texts))
+    plain = written(with_margins(every.withColumns({"trusted": F.col("n"), "suspected": F.lit(0).cast("long")})))
+    signs = written(text_signs(texts, plain, model))
+    first = shares(signs)
+    usual = signs.agg(F.try_divide(F.sum("pmi"), F.sum("letters"))).first()[0] or 0.0
+    low = usual * model.suspect_pmi
+    doubtful = (F.col("incoherent") > model.suspect_incoherent) | (F.col("repeated") > model.suspect_repeated) | (F.col("pmi") < low)
+    suspects = written(first.select("copy_of", F.coalesce(doubtful, F.lit(False)).alias("suspected")).where("suspected"))
+    judged = texts.drop("trusted").join(suspects, "copy_of", "left")
+    judged = judged.withColumn("trusted", F.when(F.col("suspected"), 0).otherwise(1).cast("long"))
+    apart = pair_counts(judged.where("suspected")).select("pair", F.col("n").alias("suspected"))
+    both = every.join(apart, "pair", "left").withColumn("suspected", F.coalesce("suspected", F.lit(0)))
+    split = written(with_margins(both.withColumn("trusted", F.col("n") - F.col("suspected"))))
+    second = shares(text_signs(judged, split, model)).join(suspects, "copy_of", "left")
+    strung = (F.col("repeated") > model.most_repeated) & (F.col("pmi") < low)
+    spam = (F.col("n_pairs") >= model.least_pairs) & ((F.col("incoherent") > model.most_incoherent) | strung)
+    verdict = second.withColumns({"suspected": F.coalesce("suspected", F.lit(False)), "spam": F.coalesce(spam, F.lit(False))})
+    # all copies of a text take its verdict: one row a distinct text meets many documents at most
+    return salted_join(tokens.select(key, "copy_of"), verdict, "copy_of", F.col(key), salts=4).drop("copy_of")
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            share = [_share(t) for t in batch[text]]
-            yield batch.loc[[x is not None and x > model.most_spam for x in share], [key]]
 
-    return documents.select(key, text).mapInPandas(check, f"{key} long")
+def find_spam(documents: DataFrame, model: SpamModel = SpamModel(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The key of every page that is mostly strung-together keywords, links or product tags."""
+    return spam_signs(documents, model, key, text).where("spam").select(key)

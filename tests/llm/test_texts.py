@@ -1,11 +1,12 @@
 import base64
+import random
 
 import pytest
 import tiktoken
 
 from lociflow.llm.mixing import MixPlan, mix
 from lociflow.llm.queries import QUERIES
-from lociflow.llm.spam import find_spam, spam_scores
+from lociflow.llm.spam import SpamModel, WordIds, find_spam, spam_signs, word_ids
 from lociflow.llm.tokens import PRETOKENS, TOKENIZERS, decode_ids, encode_documents, token_counts
 from tests.conftest import SMALL
 
@@ -45,25 +46,58 @@ def test_mix_reaches_shares(spark):
     assert mix(docs.where("false"), targets)[0].count() == 0
 
 
-def test_spam(spark):
-    speech = "1\n00:00:01,000 --> 00:00:02,000\nI think that we should have been there before it was too late.\n\n2\n00:00:03,000 --> 00:00:05,000\nWhat do you want me to say about the house?\n"
-    words = "cheap watches\nonline casino\nbest price\nfree loans\ncheap watches\nonline casino\nbest price\nfree loans\ncheap watches\nonline casino\n" * 4
-    links = "\n".join(f"https://shop{i}.example/buy/now/{i}" for i in range(40))
-    tags = "\n".join(f"SKU {10000 + i} Retro Bag {i} EUR {i}.99" for i in range(40))
-    rows = [(1, words), (2, links), (3, tags), (4, None), (5, ""), (6, " \n "), (7, links)] + [(10 + i, speech) for i in range(60)]
-    df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, extra string")
-    assert {r.doc_id for r in find_spam(df).collect()} == {1, 2, 3, 7}
-    assert spam_scores(df).count() == len(rows)
+def _speech(rng, n: int) -> list[str]:
+    """Texts of sentences from a few frames, as speech repeats its turns of phrase."""
+    things = ["house", "window", "letter", "garden", "kitchen", "bridge", "boat", "mirror", "ticket", "violin"]
+    frames = ["I never wanted to open the {} again", "do you remember the {} by the river", "where did you leave my {} last night", "they found your {} behind the old {}", "we have to sell the {} before it is too late"]
+    line = lambda: rng.choice(frames).replace("{}", rng.choice(things), 1).replace("{}", rng.choice(things))
+    return ["\n".join(f"{i}\n00:00:{i:02d},000 --> 00:00:{i:02d},900\n{line()}." for i in range(1, 16)) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def pages():
+    rng = random.Random(11)
+    keys = [f"{a} {b}" for a in ("cheap", "best", "free", "online") for b in ("watches", "casino", "loans", "tickets", "shoes")]
+    name = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    words = [" ".join(rng.choice(keys) for _ in range(60)) for _ in range(6)]
+    links = ["\n".join(f"http://www.{name()}.example/{name()}/{name()}" for _ in range(40)) for _ in range(6)]
+    tags = ["\n".join(f"SKU {rng.randrange(99999)} {rng.choice(['Retro', 'Slim'])} {name()} EUR {rng.randrange(99)}.99" for _ in range(30)) for _ in range(6)]
+    return _speech(rng, 400), words, links, tags
+
+
+def test_spam(spark, pages):
+    speech, *spam = pages
+    kinds = [t for kind in spam for t in kind]
+    song = "\n".join(["♪ do you remember the boat by the river ♪", "♪ la la la la ♪"] * 12)
+    odd = [None, "", " \n ", "12\n13", song, "x" * 200_000, "word " * 50_000]
+    texts = speech + kinds + kinds[:2] + odd
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, extra string")
+    wanted = set(range(len(speech), len(speech) + len(kinds) + 2))
+    assert {r.doc_id for r in find_spam(df).collect()} == wanted
+    signs = {r.doc_id: r for r in spam_signs(df).collect()}
+    assert len(signs) == len(texts)
+    empty = signs[len(speech) + len(kinds) + 2]
+    assert empty.n_pairs == 0 and empty.pmi is None and not empty.spam
+    assert max(signs[i].incoherent for i in range(len(speech))) < 0.3 < min(signs[i].incoherent for i in wanted)
+    # the size of the table held by every task changes nothing
+    few = {r.doc_id: r for r in spam_signs(df, SpamModel(frequent=5)).collect()}
+    assert all(few[i].spam == r.spam and few[i].incoherent == pytest.approx(r.incoherent) for i, r in signs.items())
     assert find_spam(df.where("false")).count() == 0
 
 
-def test_spam_with_many_copies(spark):
-    page = " ".join("#" + a + b + c for a in "bdfgk" for b in "aeiou" for c in ("lm", "rt", "st"))
-    speech = [f"1\n00:00:01,000 --> 00:00:02,000\nI think that we should have been at house{'abcdefghij'[i % 10]}{'klmnop'[i // 10]} before it was too late.\n" for i in range(60)]
-    df = spark.createDataFrame([(i, page) for i in range(30)] + [(100 + i, t) for i, t in enumerate(speech)], "doc_id long, text string")
-    assert {r.doc_id for r in find_spam(df).collect()} == set(range(30))
-    scores = spam_scores(df).where("spam").collect()
-    assert len(scores) == 30 and all(r.suspected for r in scores)
+def test_spam_with_many_copies(spark, pages):
+    speech, words, *_ = pages
+    texts = speech + words + words[:1] * 200
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in find_spam(df).collect()} == set(range(len(speech), len(texts)))
+
+
+def test_words_of_damaged_texts():
+    ids = WordIds()
+    same = lambda a, b: word_ids(a, ids)[0] == word_ids(b, ids)[0]
+    assert same("Où est ma clé", "Ou est ma cle") and same("modern", "modem") and same("online", "0n1ine")
+    assert same("Сколько стоит", "Сколько стоит".encode("cp1251").decode("latin-1")) and same("être prêt à", "être prêt à".encode().decode("latin-1"))
+    assert word_ids("\ufffd\ufffd\ufffd\ufffd", ids)[1] == 4
 
 
 def test_every_query_runs(spark):
