@@ -10,12 +10,14 @@ facts of one entity may be true, so multi-valued fields keep every value judged
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociflow.session import cut
+from lociflow.operators.skew import salted_join
+from lociflow.session import written
 
 #: Stand-ins that say a text has no value.
 PLACEHOLDERS = ("", "-", "--", "NA", "N/A", "N.A.", "NONE", "NULL", "NAN", "UNKNOWN", "UNSPECIFIED", "NOT AVAILABLE", "NOT KNOWN", "N.D.", "ND", "TBD", "?", ".", "MISSING", "NIL")
@@ -83,44 +85,82 @@ def normalised_records(records: DataFrame, sources: DataFrame) -> DataFrame:
     return slim.withColumn("source", F.when(F.size(listed) > 0, listed)).withColumn("trust", trust)
 
 
-def claims(rows: DataFrame) -> DataFrame:
-    """(drug, gene, field, value, claimant): each source that claims a value; the source field claims each listed name."""
-    claimants = F.explode(F.when(F.size("names") > 0, F.transform("names", lambda s: F.when(F.array_contains(F.coalesce(F.col("source"), F.array().cast("array<string>")), s), s).otherwise(OTHER))).otherwise(F.array(F.lit(OTHER))))
-    values = F.array(
-        F.struct(F.lit("confidence").alias("field"), F.array(F.col("confidence")).alias("values")),
-        F.struct(F.lit("source").alias("field"), F.col("source").alias("values")),
-        F.struct(F.lit("pchembl_value").alias("field"), F.array(F.round("pchembl_value", 2).cast("string")).alias("values")),
-        F.struct(F.lit("mechanism_of_action").alias("field"), F.array(F.lower("mechanism_of_action")).alias("values")),
-    )
-    each = rows.select("drug", "gene", claimants.alias("claimant"), F.explode(values).alias("v")).select("drug", "gene", "claimant", "v.field", F.explode("v.values").alias("value"))
-    return each.where(F.col("value").isNotNull()).distinct()
+def precedence() -> Column:
+    """The stated order of records as a struct: confidence, trust in the source, newest, smallest id."""
+    rank = F
+    for level, n in CONFIDENCE_RANK.items():
+        rank = rank.when(F.col("confidence") == level, n)
+    age = F.coalesce(-F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(2**62))
+    named = {"c": rank.otherwise(4), "t": F.col("trust"), "u": age, "r": F.col("record_id")}
+    return F.named_struct(*[x for k, v in named.items() for x in (F.lit(k), v)])
 
 
-def group_ids(rows: DataFrame) -> DataFrame:
-    """(drug, gene, group_id) of the groups with two or more records."""
-    return rows.groupBy("drug", "gene").agg(F.min("record_id").alias("group_id"), F.count("*").alias("n")).where("n >= 2").drop("n")
+def claims(rows: DataFrame) -> DataFrame:
+    """(drug, gene, record_id, field, value, shown, claimants, order): each value of each record, and who claims it.
+
+    The source field claims each listed name. ``shown`` is the value as it is given out. Every
+    record also has one row of the empty field, by which its group is counted.
+    """
+    listed = F.coalesce(F.col("source"), F.array().cast("array<string>"))
+    names = F.transform("names", lambda s: F.when(F.array_contains(listed, s), s).otherwise(OTHER))
+    claimants = F.array_distinct(F.when(F.size("names") > 0, names).otherwise(F.array(F.lit(OTHER))))
+    activity = F.round("pchembl_value", 2).cast("string")
+
+    def entry(field: str, values: Column, shown: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), values.alias("values"), shown.alias("shown"))
+
+    each = F.array(
+        entry("", F.array(F.lit("")), F.lit("")),
+        entry("confidence", F.array("confidence"), F.col("confidence")),
+        entry("source", F.col("source"), F.array_join("source", ",")),
+        entry("pchembl_value", F.array(activity), activity),
+        entry("mechanism_of_action", F.array(F.lower("mechanism_of_action")), F.col("mechanism_of_action")),
+    )
+    wide = rows.select("drug", "gene", "record_id", claimants.alias("claimants"), precedence().alias("order"), F.explode(each).alias("v"))
+    long = wide.select("drug", "gene", "record_id", "claimants", "order", "v.field", "v.shown", F.explode("v.values").alias("value"))
+    return long.where(F.col("value").isNotNull())
 
 
-def facts_of(claimed: DataFrame, groups: DataFrame) -> DataFrame:
-    """(group_id, field, value, for, against): the sorted sources that claim the value, and those that claim only others.
+def facts_of(rows: DataFrame) -> DataFrame:
+    """(group_id, field, value, for, against, best, shown): every fact of every group of two or more records.
 
-    Both lists are at most as long as the list of sources.
+    ``for`` are the sorted sources that claim the value, ``against`` those that claim only others;
+    both are at most as long as the list of sources. ``best`` is the first claiming record in the
+    stated order. The claims are read and reduced once; repeats of a claim count once.
     """
-    facts = claimed.groupBy("drug", "gene", "field", "value").agg(F.array_sort(F.collect_set("claimant")).alias("for"))
-    covered = claimed.groupBy("drug", "gene", "field").agg(F.array_sort(F.collect_set("claimant")).alias("covering"))
-    return facts.join(covered, ["drug", "gene", "field"]).join(groups, ["drug", "gene"]).select("group_id", "field", "value", "for", F.array_except("covering", "for").alias("against"))
+    first = F.min(F.struct("order", "shown"))
+    # sets of sources: at most as many as their vocabulary has subsets in use
+    supporters = F.array_sort(F.array_distinct(F.flatten(F.collect_set("claimants"))))
+    reduced = claims(rows).groupBy("drug", "gene", "field", "value").agg(supporters.alias("for"), first.alias("f"), F.count("*").alias("n"), F.min("record_id").alias("least"))
+    told = written(reduced)
+    groups = told.where("field = '' and n >= 2").select("drug", "gene", F.col("least").alias("group_id"))
+    facts = told.where("field <> ''")
+    covering = facts.select("drug", "gene", "field", "for").distinct().groupBy("drug", "gene", "field")
+    covered = covering.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("for")))).alias("covering"))
+    # a hot group may have a third of the facts, but one row here
+    known = covered.join(groups, ["drug", "gene"])
+    met = salted_join(facts, known, ["drug", "gene", "field"], F.col("value"), salts=4)
+    return met.select("group_id", "field", "value", "for", F.array_except("covering", "for").alias("against"), F.col("f.order").alias("best"), F.col("f.shown").alias("shown"))
+
+
+def _added(field: Column, sources: Column, weights: dict[tuple[str, str], float]) -> Column:
+    """Sum of the weights of the sources in the field; unknown sources weigh nothing."""
+    literal = F.create_map(*[F.lit(x) for (f, s), w in weights.items() for x in (f"{f}|{s}", w)])
+    weight = F.transform(sources, lambda s: F.coalesce(F.try_element_at(literal, F.concat_ws("|", field, s)), F.lit(0.0)))
+    return F.aggregate(weight, F.lit(0.0), lambda total, x: total + x)
 
 
 def _log_odds(quality: dict[tuple[str, str], tuple[float, float]], prior: dict[str, float]) -> Column:
-    """Log odds that a fact of a pattern is true, under the sources' present quality."""
-    import math
+    """Log odds that a fact is true, under the sources' present quality."""
+    up = {key: math.log(sens / (1 - spec)) for key, (sens, spec) in quality.items()}
+    down = {key: math.log((1 - sens) / spec) for key, (sens, spec) in quality.items()}
+    base = F.create_map(*[F.lit(x) for f, p in prior.items() for x in (f, math.log(p / (1 - p)))])
+    field = F.col("field")
+    return F.coalesce(F.try_element_at(base, field), F.lit(0.0)) + _added(field, F.col("for"), up) + _added(field, F.col("against"), down)
 
-    up = {f"{f}|{s}": math.log(sens / (1 - spec)) for (f, s), (sens, spec) in quality.items()}
-    down = {f"{f}|{s}": math.log((1 - sens) / spec) for (f, s), (sens, spec) in quality.items()}
-    base = {f: math.log(p / (1 - p)) for f, p in prior.items()}
-    literal = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv])
-    add = lambda arr, m: F.aggregate(F.transform(arr, lambda s: F.coalesce(F.try_element_at(literal(m), F.concat_ws("|", F.col("field"), s)), F.lit(0.0))), F.lit(0.0), lambda a, x: a + x)
-    return F.coalesce(F.try_element_at(literal(base), F.col("field")), F.lit(0.0)) + add("for", up) + add("against", down)
+
+def _mean(prior: tuple[float, float]) -> float:
+    return prior[0] / (prior[0] + prior[1])
 
 
 def truth_quality(facts: DataFrame, model: TruthModel = TruthModel()) -> tuple[dict[tuple[str, str], tuple[float, float]], dict[str, float]]:
@@ -129,21 +169,24 @@ def truth_quality(facts: DataFrame, model: TruthModel = TruthModel()) -> tuple[d
     Facts with the same supporters and deniers are alike, so they are counted once, in Spark, and
     each round runs over the counts. The driver sees one row per field and source a round.
     """
-    patterns = cut(facts.groupBy("field", "for", "against").agg(F.count("*").alias("n")))
+    patterns = written(facts.groupBy("field", "for", "against").agg(F.count("*").alias("n")))
     pairs = [(r.field, r.s) for r in patterns.select("field", F.explode(F.array_union("for", "against")).alias("s")).distinct().collect()]
-    mean = lambda ab: ab[0] / (ab[0] + ab[1])
-    quality = {p: (mean(model.sensitivity_prior), mean(model.specificity_prior)) for p in pairs}
-    prior = {f: mean(model.truth_prior) for f in {f for f, _ in pairs}}
+    quality = {p: (_mean(model.sensitivity_prior), _mean(model.specificity_prior)) for p in pairs}
+    prior = {f: _mean(model.truth_prior) for f in {f for f, _ in pairs}}
     if not pairs:
         return quality, prior
+    vote = lambda sources, yes: F.transform(sources, lambda s: F.struct(s.alias("s"), F.lit(yes).alias("yes")))
+    # the empty source counts the field's facts themselves
+    votes = F.concat(vote("for", 1), vote("against", 0), F.array(F.struct(F.lit("").alias("s"), F.lit(1).alias("yes"))))
+    t, f, yes = F.col("t"), F.col("n") - F.col("t"), F.col("c.yes")
     for _ in range(model.rounds):
         true = F.col("n") / (1 + F.exp(-_log_odds(quality, prior)))
-        scored = patterns.select("field", "for", "against", "n", true.alias("t"))
-        voted = scored.select("field", F.col("n"), F.col("t"), F.explode(F.concat(F.transform("for", lambda s: F.struct(s.alias("s"), F.lit(1).alias("yes"))), F.transform("against", lambda s: F.struct(s.alias("s"), F.lit(0).alias("yes"))), F.array(F.struct(F.lit("").alias("s"), F.lit(1).alias("yes"))))).alias("c"))
-        sums = voted.groupBy("field", "c.s").agg(F.sum(F.col("t") * F.col("c.yes")).alias("tp"), F.sum(F.col("t") * (1 - F.col("c.yes"))).alias("fn"), F.sum((F.col("n") - F.col("t")) * F.col("c.yes")).alias("fp"), F.sum((F.col("n") - F.col("t")) * (1 - F.col("c.yes"))).alias("tn")).collect()
-        (a, b), (c, d), (e, f) = model.sensitivity_prior, model.specificity_prior, model.truth_prior
+        voted = patterns.select("field", "n", true.alias("t"), F.explode(votes).alias("c"))
+        counted = {"tp": t * yes, "fn": t * (1 - yes), "fp": f * yes, "tn": f * (1 - yes)}
+        sums = voted.groupBy("field", "c.s").agg(*[F.sum(v).alias(k) for k, v in counted.items()]).collect()
+        (a, b), (c, d), (e, g) = model.sensitivity_prior, model.specificity_prior, model.truth_prior
         new = {(r.field, r.s): ((r.tp + a) / (r.tp + r.fn + a + b), (r.tn + c) / (r.tn + r.fp + c + d)) for r in sums if r.s}
-        prior = {r.field: (r.tp + e) / (r.tp + r.fp + e + f) for r in sums if not r.s}
+        prior = {r.field: (r.tp + e) / (r.tp + r.fp + e + g) for r in sums if not r.s}
         moved = max(abs(x - y) for k in new for x, y in zip(new[k], quality[k], strict=True))
         quality = new
         if moved < model.tolerance:
@@ -153,7 +196,7 @@ def truth_quality(facts: DataFrame, model: TruthModel = TruthModel()) -> tuple[d
 
 def judged_facts(rows: DataFrame, model: TruthModel = TruthModel()) -> tuple[DataFrame, dict[tuple[str, str], tuple[float, float]]]:
     """Every fact with its probability of being true and whether it is kept, and the sources' quality."""
-    facts = cut(facts_of(claims(rows), group_ids(rows)))
+    facts = written(facts_of(rows))
     quality, prior = truth_quality(facts, model)
     if not quality:
         return facts.withColumn("truth", F.lit(None).cast("double")).withColumn("kept", F.lit(False)), quality
@@ -165,28 +208,18 @@ def survivors(records: DataFrame, sources: DataFrame, model: TruthModel = TruthM
     """The surviving value of every field of every group, the record it is from, and its truth.
 
     One row per group of two or more records and field with a real value: group_id, field,
-    record_id, value, truth (posterior of the value under the latent truth model; of a list of
-    sources that of the least likely) and kept (judged true). The survivor is chosen by the stated
-    precedence: confidence of the record, trust of its source, newest, smallest id; the model can't
-    overrule that order, so its verdict comes with the survivor. Null or placeholder values never
-    survive; exact repeats count once as claims. The choice is a minimum per group, aggregated
-    before the shuffle, so a group of any size is never in one place. Empty tables give no rows.
+    record_id, value, truth (posterior of the value under the latent truth model) and kept (judged
+    true). The survivor is chosen among the judged facts by the stated precedence: confidence of the
+    record, trust of its source, newest, smallest id. The model can't overrule that order; it decides
+    between facts of one record, so of a list of sources truth and kept are those of the likeliest.
+    Null or placeholder values are no facts; exact repeats count once as claims. The choice is a
+    minimum, aggregated before the shuffle, so a group of any size is never in one place. Empty
+    tables give no rows.
     """
-    rows = normalised_records(records, sources)
-    facts, _ = judged_facts(rows, model)
-    rank = F
-    for level, n in CONFIDENCE_RANK.items():
-        rank = rank.when(F.col("confidence") == level, n)
-    age = F.coalesce(-F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(2**62))
-    order = F.struct(rank.otherwise(4).alias("c"), F.col("trust").alias("t"), age.alias("u"), F.col("record_id").alias("r"))
-    named = {"confidence": F.col("confidence"), "source": F.array_join("source", ","), "pchembl_value": F.round("pchembl_value", 2).cast("string"), "mechanism_of_action": F.col("mechanism_of_action")}
-    best = rows.groupBy("drug", "gene").agg(F.min("record_id").alias("group_id"), F.count("*").alias("n"), *[F.min(F.when(v.isNotNull(), F.struct(order.alias("o"), v.alias("v")))).alias(f) for f, v in named.items()]).where("n >= 2")
-    long = best.select("group_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("b")) for f in named])).alias("x")).where(F.col("x.b").isNotNull())
-    long = long.select("group_id", "x.field", F.col("x.b.o.r").alias("record_id"), F.col("x.b.v").alias("value"))
-    claimed = F.when(F.col("field") == "source", F.split("value", ",")).otherwise(F.array(F.lower("value")))
-    verdicts = long.select("group_id", "field", F.explode(claimed).alias("value")).join(facts, ["group_id", "field", "value"])
-    verdict = verdicts.groupBy("group_id", "field").agg(F.round(F.min("truth"), 6).alias("truth"), F.bool_and("kept").alias("kept"))
-    return long.join(verdict, ["group_id", "field"], "left")
+    facts, _ = judged_facts(normalised_records(records, sources), model)
+    order = F.struct("best", (-F.col("truth")).alias("doubt"), "shown", "kept")
+    chosen = facts.groupBy("group_id", "field").agg(F.min(order).alias("m"))
+    return chosen.select("group_id", "field", F.col("m.best.r").alias("record_id"), F.col("m.shown").alias("value"), F.round(-F.col("m.doubt"), 6).alias("truth"), F.col("m.kept").alias("kept"))
 
 
 def retained_values(records: DataFrame, sources: DataFrame, model: TruthModel = TruthModel()) -> DataFrame:
