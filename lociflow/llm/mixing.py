@@ -17,15 +17,14 @@ MOST_SOURCES = 10_000
 class MixPlan:
     """Seed, wanted size and tokenizer.
 
-    ``total_tokens`` is the size asked for; by default the largest size at which every source that
-    has documents reaches its share within its cap. If that would leave more than ``1 - least_yield``
-    of the tokens unused (a source with next to no text), ``least_yield`` of them is taken instead
-    and the sources that are too small are used as often as allowed and reported as capped.
+    The size asked for is ``total_tokens`` or, where that is None, ``size`` times the tokens of all
+    documents of the asked sources. Sources too small for their share of it are used as often as
+    allowed and reported as capped; the others aren't enlarged for them.
     """
 
     seed: int = 42
+    size: float = 0.25
     total_tokens: float | None = None
-    least_yield: float = 0.25
     tokenizer: str = "byte_bpe_50k"
     folder: str = TOKENIZERS
 
@@ -45,8 +44,7 @@ def repetition_rates(sizes: DataFrame, targets: DataFrame, plan: MixPlan) -> lis
     for r in rows:
         r |= {"tokens": r["tokens"] or 0, "docs": r["docs"] or 0, "target_share": r["target_share"] or 0.0, "max_repeats": max(r["max_repeats"] or 0, 0)}
     able = [r for r in rows if r["tokens"] and r["target_share"] > 0]
-    reach = min((r["max_repeats"] * r["tokens"] / r["target_share"] for r in able), default=0.0)
-    total = plan.total_tokens or max(reach, plan.least_yield * sum(r["tokens"] for r in able))
+    total = plan.size * sum(r["tokens"] for r in able) if plan.total_tokens is None else plan.total_tokens
     for r in rows:
         wanted = r["target_share"] * total / r["tokens"] if r["tokens"] else 0.0
         r["rate"] = min(float(r["max_repeats"]), wanted)
@@ -60,24 +58,35 @@ def copies(rate: Column, key: Column, seed: int) -> Column:
     return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("int")
 
 
-def mix(documents: DataFrame, targets: DataFrame, plan: MixPlan = MixPlan()) -> tuple[DataFrame, DataFrame]:
-    """(one row per document and copy: doc_id, source, copy, n_tokens; one row per source: its shares).
+def repeated(sizes: DataFrame, rates: list[dict], plan: MixPlan) -> DataFrame:
+    """The documents used, with how many ``copies`` of each.
 
     Documents of other sources and without tokens (null, empty) are not used. The rates ride along
-    as literals, so the second pass has no join and no shuffle, and no source is in one task.
+    as literals, so there is no join and no shuffle, and no source is in one task.
     """
+    pairs = [F.lit(x) for r in rates for x in (r["source"], r["rate"])]
+    rate = F.try_element_at(F.create_map(*pairs), F.col("source")) if pairs else F.lit(None).cast("double")
+    used = sizes.where("n_tokens > 0").withColumn("rate", rate).where(F.col("rate") > 0)
+    return used.withColumn("copies", copies(F.col("rate"), F.col("doc_id"), plan.seed)).where("copies > 0")
+
+
+def mixed_documents(documents: DataFrame, targets: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
+    """One row per document and copy: doc_id, source, copy, n_tokens."""
+    sizes = cut(token_counts(documents, plan.tokenizer, plan.folder))
+    used = repeated(sizes, repetition_rates(sizes, targets, plan), plan)
+    return used.select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"), "n_tokens")
+
+
+def mix_report(documents: DataFrame, targets: DataFrame, plan: MixPlan = MixPlan()) -> DataFrame:
+    """One row per target source: target and reachable share, what there is, rate, status, tokens used and actual share."""
     sizes = cut(token_counts(documents, plan.tokenizer, plan.folder))
-    rows = repetition_rates(sizes, targets, plan)
-    spark = documents.sparkSession
-    rates = F.create_map(*[F.lit(x) for r in rows for x in (r["source"], r["rate"])]) if rows else F.lit(None).cast("map<string,double>")
-    used = sizes.where("n_tokens > 0").withColumn("rate", F.try_element_at(rates, F.col("source"))).where(F.col("rate") > 0)
-    used = used.withColumn("copies", copies(F.col("rate"), F.col("doc_id"), plan.seed)).where("copies > 0")
-    emitted = used.select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"), "n_tokens")
-    taken = used.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens_used"), F.max("copies").alias("most_copies"))
-    reachable = sum(r["target_share"] for r in rows if r["tokens"]) or 1.0
-    plan_rows = [(r["source"], r["target_share"], r["target_share"] / reachable if r["tokens"] else 0.0, r["max_repeats"], r["docs"], r["tokens"], r["rate"], r["status"]) for r in rows]
-    plan_table = spark.createDataFrame(plan_rows, "source string, target_share double, reachable_share double, max_repeats int, documents long, tokens_available long, rate double, status string")
-    report = plan_table.join(taken, "source", "left").withColumn("tokens_used", F.coalesce("tokens_used", F.lit(0)))
-    whole = report.agg(F.sum("tokens_used").alias("w"))
-    total = whole.first()["w"] or 0
-    return emitted, report.withColumn("actual_share", F.round(F.col("tokens_used") / max(total, 1), 6)).withColumn("most_copies", F.coalesce("most_copies", F.lit(0)))
+    rates = repetition_rates(sizes, targets, plan)
+    spent = F.sum(F.col("copies") * F.col("n_tokens"))
+    taken = repeated(sizes, rates, plan).groupBy("source").agg(spent.alias("tokens_used"), F.max("copies").alias("most_copies"))
+    reachable = sum(r["target_share"] for r in rates if r["tokens"]) or 1.0
+    columns = ("source", "target_share", "max_repeats", "docs", "tokens", "rate", "status")
+    rows = [(*[r[c] for c in columns], r["target_share"] / reachable if r["tokens"] else 0.0) for r in rates]
+    schema = "source string, target_share double, max_repeats int, documents long, tokens_available long, rate double, status string, reachable_share double"
+    report = cut(documents.sparkSession.createDataFrame(rows, schema).join(taken, "source", "left").fillna(0, ["tokens_used", "most_copies"]))
+    whole = report.agg(F.sum("tokens_used")).first()[0] or 1
+    return report.withColumn("actual_share", F.round(F.col("tokens_used") / whole, 6))

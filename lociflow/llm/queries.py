@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociflow.llm.fusion import retained_values, source_quality, survivors
 from lociflow.llm.matching import match_drugs
-from lociflow.llm.mixing import mix
+from lociflow.llm.mixing import mix_report, mixed_documents
 from lociflow.llm.percentiles import merge_states, percentiles, value_state
 from lociflow.llm.spam import find_spam, spam_signs
 from lociflow.llm.tokens import encode_documents, token_counts
@@ -76,12 +76,12 @@ def p7_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     """The mixed corpus: one row per document and copy."""
-    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+    return mixed_documents(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and reached share of every source."""
-    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+    return mix_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

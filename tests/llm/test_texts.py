@@ -4,7 +4,7 @@ import random
 import pytest
 import tiktoken
 
-from lociflow.llm.mixing import MixPlan, mix
+from lociflow.llm.mixing import MixPlan, mix_report, mixed_documents
 from lociflow.llm.queries import QUERIES
 from lociflow.llm.spam import SpamModel, WordIds, find_spam, spam_signs, word_ids
 from lociflow.llm.tokens import PRETOKENS, TOKENIZERS, decode_ids, encode_documents, token_counts
@@ -34,16 +34,18 @@ def test_mix_reaches_shares(spark):
     rows = [(i, "big", "word " * 20) for i in range(6000)] + [(10000 + i, "small", "other " * 20) for i in range(1000)] + [(20000 + i, "tiny", "x") for i in range(3)] + [(30000, "unasked", "text"), (30001, "big", None), (30002, "small", ""), (30003, None, "t")]
     docs = spark.createDataFrame([(*r, "e") for r in rows], "doc_id long, source string, text string, extra string")
     targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.4, 4), ("tiny", 0.05, 2), ("absent", 0.05, 3)], "source string, target_share double, max_repeats int")
-    copies, report = mix(docs, targets)
+    copies, report = mixed_documents(docs, targets), mix_report(docs, targets)
     shares = {r.source: r for r in report.collect()}
     assert shares["absent"].status == "no_documents" and shares["tiny"].status == "capped" and shares["tiny"].most_copies == 2
     assert shares["big"].actual_share / shares["small"].actual_share == pytest.approx(1.25, rel=0.1)
     used = copies.groupBy("doc_id", "source").count().collect()
     assert all(r["count"] <= {"big": 1, "small": 4, "tiny": 2}[r.source] for r in used)
     assert sum(r.tokens_used for r in shares.values()) == copies.agg({"n_tokens": "sum"}).first()[0]
-    again = mix(docs, targets, MixPlan())[0]
+    again = mixed_documents(docs, targets, MixPlan())
     assert again.exceptAll(copies).count() == 0 and copies.exceptAll(again).count() == 0
-    assert mix(docs.where("false"), targets)[0].count() == 0
+    half = mix_report(docs, targets, MixPlan(total_tokens=1000.0)).collect()
+    assert sum(r.rate * r.tokens_available for r in half) == pytest.approx(1000 * sum(r.target_share for r in half if r.tokens_available), rel=0.1)
+    assert mixed_documents(docs.where("false"), targets).count() == 0
 
 
 def _speech(rng, n: int) -> list[str]:
