@@ -20,19 +20,24 @@ from lociflow.operators.skew import salted_join
 from lociflow.session import cut
 
 #: Words that name a salt, a hydrate or a preparation, not the active substance.
-SALT_WORDS = ("hydrochloride", "hcl", "sodium", "na", "sulfate", "sulphate", "mesylate", "mesilate", "maleate", "tartrate", "monohydrate", "hydrate", "potassium", "citrate", "phosphate", "acetate", "fumarate", "succinate", "besylate", "tosylate", "bromide", "chloride", "calcium", "salt", "usan", "inn", "racemic")
+SALT_WORDS = (
+    "hydrochloride", "hcl", "sodium", "na", "sulfate", "sulphate", "mesylate", "mesilate", "maleate", "tartrate", "monohydrate", "hydrate",
+    "potassium", "citrate", "phosphate", "acetate", "fumarate", "succinate", "besylate", "tosylate", "bromide", "chloride", "calcium",
+)
+#: Words beside a name that name neither substance nor salt.
+LABEL_WORDS = ("salt", "usan", "inn", "racemic")
 #: What a salt or hydrate adds to the molar mass (HCl, Na, H2O, sulfate, mesylate, maleate, tartrate, potassium).
 SALT_MASSES = (36.46, 21.98, 22.99, 18.02, 98.08, 96.11, 116.07, 150.09, 38.1)
 #: Prefixes that name a single isomer.
 ISOMER_PREFIXES = ("lev", "dex", "es", "ar")
-#: Names longer than this (in letters) are no drug names; only the exact rules apply to them.
-LONGEST_FUZZY_NAME = 48
+#: Width of the mass buckets that near names meet in.
+BUCKET = 4.0
 INCHIKEY = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]$"
 
 
 @dataclass(frozen=True)
 class MatchModel:
-    """Edits allowed between names, pseudo-counts of the precision estimate and the least accepted precision."""
+    """Edits allowed between names (at most 2), pseudo-counts of the precision estimate and the least accepted precision."""
 
     edits: int = 2
     prior_right: float = 1.0
@@ -50,7 +55,7 @@ def folded(names: pd.Series) -> pd.Series:
 def name_key(fold: Column) -> Column:
     """Letters and digits of the name without salts, bracketed remarks and concentrations; null if nothing is left."""
     bare = F.regexp_replace(fold, r"\[[^\]]*\]|\b[0-9.]+ ?m?m in dmso\b", " ")
-    bare = F.regexp_replace(bare, r"(?<![a-z0-9])(?:" + "|".join(SALT_WORDS) + r")(?![a-z0-9])", " ")
+    bare = F.regexp_replace(bare, r"(?<![a-z0-9])(?:" + "|".join(SALT_WORDS + LABEL_WORDS) + r")(?![a-z0-9])", " ")
     key = F.regexp_replace(bare, r"[^\p{L}\p{N}]", "")
     return F.when(key != "", key)
 
@@ -71,8 +76,8 @@ def normalised(df: DataFrame, id_column: str) -> DataFrame:
     rows = df.select(F.col(id_column), folded("drug_name").alias("fold"), inchi.alias("inchi"), F.when(cid != "", cid).alias("cid"), F.upper(F.trim("drug_chembl_id")).alias("chembl"), F.when(F.col("mol_weight") > 0, F.col("mol_weight")).alias("mw"), synonyms.alias("synonyms"))
     rows = rows.withColumn("key", name_key(F.col("fold")))
     return rows.select(
-        id_column, "key", F.when(F.length("key") <= LONGEST_FUZZY_NAME, skeleton(F.col("key"))).alias("skel"), "cid", "mw", "synonyms",
-        F.col("key").rlike("^[a-z]{2,4}[0-9]+$").alias("coded"), F.col("fold").rlike(r"(?<![a-z0-9])(?:" + "|".join(SALT_WORDS[:23]) + r")(?![a-z0-9])").alias("salted"),
+        id_column, "key", skeleton(F.col("key")).alias("skel"), "cid", "mw", "synonyms",
+        F.col("key").rlike("^[a-z]{2,4}[0-9]+$").alias("coded"), F.col("fold").rlike(r"(?<![a-z0-9])(?:" + "|".join(SALT_WORDS) + r")(?![a-z0-9])").alias("salted"),
         F.when(F.col("inchi").rlike(INCHIKEY), F.col("inchi")).alias("inchi"), F.when(F.col("inchi").rlike(r"^[A-Z]{14}(-|$)"), F.substring("inchi", 1, 14)).alias("block"),
         F.when(F.col("chembl").rlike(r"^CHEMBL[0-9]+$"), F.col("chembl")).alias("chembl"),
     )
@@ -87,14 +92,36 @@ def mass_agrees(mine: Column, theirs: Column, salted: Column) -> Column:
     return near
 
 
-def deletions(text: Column, edits: int) -> Column:
-    """The distinct texts left by deleting at most ``edits`` characters: two texts within that many edits share one."""
-    one = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))
-    out = level = F.array(text)
-    for _ in range(edits):
-        level = F.array_distinct(F.flatten(F.transform(level, one)))
-        out = F.concat(out, level)
-    return F.array_distinct(out)
+def _thirds(length: Column) -> tuple[Column, Column]:
+    return F.floor(length / 3).cast("int"), F.floor(length * 2 / 3).cast("int")
+
+
+def drug_segments(text: Column) -> Column:
+    """The three thirds of a text as keys of (length, which third, letters)."""
+    n = F.length(text)
+    one, two = _thirds(n)
+    parts = ((F.lit(1), one), (one + 1, two - one), (two + 1, n - two))
+    return F.array(*[F.concat_ws("|", n, F.lit(i), F.substring(text, start, length)) for i, (start, length) in enumerate(parts)])
+
+
+def near_segments(text: Column) -> Column:
+    """The keys of all texts within two edits: one of their thirds is left whole by two edits (Li et al., Pass-Join, 2011).
+
+    A first third stays in its place, a last one keeps its distance from the end, a middle one moves by one letter at most.
+    """
+    n = F.length(text)
+
+    def of_length(m: Column) -> Column:
+        one, two = _thirds(m)
+        ends = [(0, F.lit(1), one), (2, two + 1 + n - m, m - two)]
+        middle = [(1, one + 1 + shift, two - one) for shift in (-1, 0, 1)]
+        return F.array(*[F.concat_ws("|", m, F.lit(i), F.substring(text, start, length)) for i, start, length in ends + middle])
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.greatest(n - 2, F.lit(0)), n + 2), of_length)))
+
+
+def mass_buckets(mass: Column, slack: Column) -> Column:
+    return F.sequence(F.floor((mass - slack) / BUCKET), F.floor((mass + slack) / BUCKET))
 
 
 #: What is kept of a candidate pair.
@@ -139,23 +166,23 @@ def rules(model: MatchModel) -> list[tuple[str, str, str, Column, tuple[str, ...
         ("block_and_name", "block", "block", similar & ~col("isomers"), ("inchi_is", "name_is")),
         ("block_and_mass", "block", "block", col("mass") & col("c_coded") & (col("cid_is") >= 0), ("inchi_is",)),
         ("near_name_and_mass", "near", "near", close & col("mass") & ~denied, ("name_is",)),
-        ("near_name", "near", "near", close & (col("edits") <= 1) & ~col("other_mass") & ~denied, ("name_is",)),
-        ("near_name_other_mass", "near", "near", close & (col("edits") <= 1) & ~denied & (col("cid_near") | col("c_salted")), ("name_is",)),
     ]
 
 
-def _candidates(drugs: DataFrame, compounds: DataFrame, drug_key: str, compound_key: str, edits: int) -> DataFrame:
+def _candidates(drugs: DataFrame, compounds: DataFrame, drug_key: str, compound_key: str) -> DataFrame:
     left = compounds.select(*[F.col(c).alias(f"c_{c}" if c != "compound_id" else c) for c in compounds.columns])
     right = drugs.select(*[F.col(c).alias(f"d_{c}" if c != "drug_id" else c) for c in drugs.columns])
     if drug_key == "near":
-        # names that occur often count once; only shared deletions meet, so no group of names is paired up
-        # a name is short but has hundreds of deletions, so a fixed number of partitions keeps adaptive execution from merging them by their size
-        parts = int(drugs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        variants = lambda df, key: df.where(F.col(key).isNotNull()).select(key).distinct().repartition(parts, F.xxhash64(key)).select(key, F.explode(deletions(F.col(key), edits)).alias("v")).select(key, F.xxhash64("v").alias("v"))
-        # deletions multiply the names, so the join is sorted and spills, never broadcast
-        met = variants(left.where(~F.col("c_coded")), "c_skel").join(variants(right, "d_skel").hint("merge"), "v").select("c_skel", "d_skel").distinct().where(F.levenshtein("c_skel", "d_skel") <= edits)
-        named = met.join(right, "d_skel")
-        return salted_join(left, named, "c_skel", F.col("compound_id"), salts=8)
+        # a third of the name and the mass together are rare, so few pairs meet that the rule then drops
+        mine = F.array(F.col("c_mw"), *[F.when(F.col("c_salted"), F.col("c_mw") - extra) for extra in SALT_MASSES])
+        named = left.where(~F.col("c_coded") & F.col("c_skel").isNotNull() & F.col("c_mw").isNotNull())
+        buckets = F.array_distinct(F.transform(F.array_compact(mine), lambda m: F.floor(m / BUCKET)))
+        wide = named.withColumn("bucket", F.explode(buckets)).withColumn("v", F.explode(near_segments(F.col("c_skel"))))
+        slack = F.greatest(F.lit(0.55), F.col("d_mw") * 0.002 + 0.03)
+        known = right.where("d_skel is not null and d_mw is not null").withColumn("bucket", F.explode(mass_buckets(F.col("d_mw"), slack)))
+        known = known.withColumn("v", F.explode(drug_segments(F.col("d_skel"))))
+        met = salted_join(wide, known, ["bucket", "v"], F.col("compound_id"), salts=4).drop("bucket", "v")
+        return met.where(F.levenshtein("c_skel", "d_skel", 2) >= 0)
     if drug_key == "synonym":
         right = right.withColumn("k", F.explode(F.transform("d_synonyms", lambda s: F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}]", ""))))
     else:
@@ -164,15 +191,34 @@ def _candidates(drugs: DataFrame, compounds: DataFrame, drug_key: str, compound_
     return salted_join(left, right.where(F.col("k").isNotNull() & (F.col("k") != "")), "k", F.col("compound_id"), salts=8).drop("k")
 
 
-def match_drugs(registry: DataFrame, compounds: DataFrame, model: MatchModel = MatchModel()) -> DataFrame:
-    """(drug_id, compound_id, rule, confidence): the drug each compound is, if any.
+def signs() -> dict[str, Column]:
+    """Whether each identifier of a pair agrees (1), disagrees (-1) or doesn't tell (0)."""
+    col = F.col
+    apart = (col("edits") > 5) & ~col("c_coded")
+    return {
+        "inchi_is": col("inchi_is"), "chembl_is": col("chembl_is"), "cid_is": F.when(col("cid_near"), 0).otherwise(col("cid_is")),
+        "name_is": F.when(col("same_name"), 1).when(apart, -1).otherwise(0), "mass_is": F.when(col("mass"), 1).when(col("other_mass"), -1).otherwise(0),
+    }
 
-    A compound has at most one drug: where a rule finds several, the one with most agreeing
-    attributes is taken, and none if several agree equally (a later rule may tell). Matches of a
-    rule whose precision on labelled pairs is below ``least_precision`` are not returned. Compounds
-    without any attribute match nothing; repeated compounds are matched each; empty tables give no
-    rows.
-    """
+
+def agreement() -> Column:
+    """How well a pair agrees, to choose among the drugs that one rule finds for a compound."""
+    col = F.col
+    identifiers = (col("cid_is") + col("chembl_is") + col("inchi_is")) * 2
+    return col("same_name").cast("int") * 4 + identifiers + col("mass").cast("int") - F.least("edits", F.lit(9)) - col("isomers").cast("int") * 9
+
+
+def clearest(pairs: DataFrame, label: Column) -> DataFrame:
+    """(compound_id, drug_id, label): the drug that agrees best; none where several agree equally."""
+    best = pairs.groupBy("compound_id", "drug_id").agg(F.max(agreement()).alias("score"), F.max(label).alias("label"))
+    last = F.max(F.struct("score", "drug_id", "label")).alias("t")
+    first = F.max(F.struct("score", (-F.col("drug_id")).alias("d"))).alias("first")
+    top = best.groupBy("compound_id").agg(last, first)
+    return top.where(F.col("t.drug_id") == -F.col("first.d")).select("compound_id", "t.drug_id", "t.label")
+
+
+def resolve(registry: DataFrame, compounds: DataFrame, model: MatchModel = MatchModel()) -> tuple[DataFrame, DataFrame]:
+    """((compound_id, drug_id, label, rule) of all rules' matches, (rule, found, right, wrong, confidence) of each rule)."""
     drugs = cut(normalised(registry, "drug_id").dropDuplicates(["drug_id"]))
     everything = cut(normalised(compounds, "compound_id").dropDuplicates(["compound_id"]))
     cascade = rules(model)
@@ -183,20 +229,36 @@ def match_drugs(registry: DataFrame, compounds: DataFrame, model: MatchModel = M
         # what is resolved is read from what earlier rules wrote, so that no rule's plan holds another's
         left = lambda df, done=found: df if done is None else df.join(done.select("compound_id"), "compound_id", "left_anti")
         if drug_key not in pairs_by:
-            pairs = with_evidence(_candidates(drugs, left(everything), drug_key, compound_key, model.edits)).select(*EVIDENCE)
+            pairs = with_evidence(_candidates(drugs, left(everything), drug_key, compound_key)).select(*EVIDENCE)
             pairs_by[drug_key] = cut(pairs) if keys.count(drug_key) > 1 else pairs
             pairs = pairs_by[drug_key].where(condition)
         else:  # rules of one key share its pairs; later ones only filter them
             pairs = left(pairs_by[drug_key]).where(condition)
-        signs = {"inchi_is": F.col("inchi_is"), "chembl_is": F.col("chembl_is"), "cid_is": F.when(F.col("cid_near"), 0).otherwise(F.col("cid_is")), "name_is": F.when(F.col("same_name"), 1).when((F.col("edits") > model.edits + 3) & ~F.col("c_coded"), -1).otherwise(0), "mass_is": F.when(F.col("mass"), 1).when(F.col("other_mass"), -1).otherwise(0)}
-        label = sum((v for k, v in signs.items() if k not in used), F.lit(0))
-        score = F.col("same_name").cast("int") * 4 + F.col("cid_is") * 2 + F.col("chembl_is") * 2 + F.col("inchi_is") * 2 + F.col("mass").cast("int") - F.least("edits", F.lit(9)) - F.col("isomers").cast("int") * 9
-        best = pairs.groupBy("compound_id", "drug_id").agg(F.max(score).alias("score"), F.max(label).alias("label"))
-        top = best.groupBy("compound_id").agg(F.max(F.struct("score", "drug_id", "label")).alias("t"), F.min(F.struct("score", F.col("drug_id").alias("d"))).alias("low"), F.count("*").alias("n"), F.max(F.struct("score", (-F.col("drug_id")).alias("d"))).alias("first"))
-        clear = top.where(F.col("t.drug_id") == -F.col("first.d")).select("compound_id", "t.drug_id", "t.label", F.lit(name).alias("rule"))
-        resolved = cut(clear)
+        label = sum((v for k, v in signs().items() if k not in used), F.lit(0))
+        resolved = cut(clearest(pairs, label).withColumn("rule", F.lit(name)))
         found = resolved if found is None else found.unionByName(resolved)
-    labels = F.count_if(F.col("label") > 0).alias("right"), F.count_if(F.col("label") < 0).alias("wrong")
-    precision = found.groupBy("rule").agg(*labels).select("rule", ((F.col("right") + model.prior_right) / (F.col("right") + F.col("wrong") + model.prior_right + model.prior_wrong)).alias("confidence"))
+    right, wrong = F.count_if(F.col("label") > 0).alias("right"), F.count_if(F.col("label") < 0).alias("wrong")
+    smoothed = (F.col("right") + model.prior_right) / (F.col("right") + F.col("wrong") + model.prior_right + model.prior_wrong)
+    return found, found.groupBy("rule").agg(F.count("*").alias("found"), right, wrong).withColumn("confidence", smoothed)
+
+
+def match_drugs(registry: DataFrame, compounds: DataFrame, model: MatchModel = MatchModel()) -> DataFrame:
+    """(drug_id, compound_id, rule, confidence): the drug each compound is, if any.
+
+    A compound has at most one drug: where a rule finds several, the one with most agreeing
+    attributes is taken, and none if several agree equally (a later rule may tell). Matches of a
+    rule whose precision on labelled pairs is below ``least_precision`` are not returned. Compounds
+    without any attribute match nothing; names of any length are compared; repeated compounds are
+    matched each; empty tables give no rows.
+    """
+    found, precision = resolve(registry, compounds, model)
+    trusted = precision.where(F.col("confidence") >= model.least_precision).select("rule", "confidence")
     # one row a rule: at most as many as the cascade has rules
-    return found.join(F.broadcast(precision), "rule").where(F.col("confidence") >= model.least_precision).select("drug_id", "compound_id", "rule", F.round("confidence", 4).alias("confidence"))
+    return found.join(F.broadcast(trusted), "rule").select("drug_id", "compound_id", "rule", F.round("confidence", 4).alias("confidence"))
+
+
+def rule_report(registry: DataFrame, compounds: DataFrame, model: MatchModel = MatchModel()) -> DataFrame:
+    """Per rule that found anything: matches found, labelled right and wrong, smoothed precision, and matches returned."""
+    _, precision = resolve(registry, compounds, model)
+    returned = F.when(F.col("confidence") >= model.least_precision, F.col("found")).otherwise(0)
+    return precision.select("rule", "found", "right", "wrong", F.round("confidence", 4).alias("confidence"), returned.alias("returned"))

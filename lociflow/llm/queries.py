@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociflow.llm.fusion import retained_values, source_quality, survivors
-from lociflow.llm.matching import match_drugs
+from lociflow.llm.matching import match_drugs, rule_report
 from lociflow.llm.mixing import mix_report, mixed_documents
 from lociflow.llm.percentiles import merge_states, percentiles, value_state
 from lociflow.llm.spam import find_spam, spam_signs
@@ -44,6 +44,11 @@ def p3_matches(spark: SparkSession, d: str) -> DataFrame:
     return match_drugs(table(spark, d, "drug_registry"), table(spark, d, "screen_compounds"))
 
 
+def p3_rules(spark: SparkSession, d: str) -> DataFrame:
+    """What each rule of the cascade found, how its labelled pairs came out, and what it returned."""
+    return rule_report(table(spark, d, "drug_registry"), table(spark, d, "screen_compounds"))
+
+
 def p5_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles of the valid p values of every study and batch date, and (batch_date null) of every study.
 
@@ -96,7 +101,7 @@ def p9_scores(spark: SparkSession, d: str) -> DataFrame:
     return signs.select("doc_id", "n_pairs", *rounded, "suspected", "spam")
 
 
-QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p5_percentiles, p5_medians, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_scores)}
+QUERIES = {q.__name__: q for q in (p1_found, p1_survivors, p1_values, p1_quality, p3_found, p3_matches, p3_rules, p5_percentiles, p5_medians, p7_ids, p7_counts, p8_mix, p8_shares, p9_found, p9_scores)}
 _VALID_P = "p IS NOT NULL AND NOT isnan(p) AND p BETWEEN 0 AND 1"
 _AT = "[0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]"
 

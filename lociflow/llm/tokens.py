@@ -18,6 +18,7 @@ from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 #: Folder of the public vocabulary files, unless given.
@@ -113,6 +114,11 @@ class Encoder(dict):
         return bytes(self.back[c] for piece in pieces for c in piece).decode("utf-8", "replace")
 
 
+def shipped(df: DataFrame, name: str, folder: str) -> None:
+    """Sends the vocabulary file to every executor with the job, so that it need not be there."""
+    df.sparkSession.sparkContext.addFile(str(Path(folder) / f"{name}.tiktoken"))
+
+
 @lru_cache(maxsize=4)
 def encoder(name: str, folder: str) -> Encoder:
     """One encoder a Python worker; the model is built there from the vocabulary file."""
@@ -125,10 +131,11 @@ def encode_documents(documents: DataFrame, name: str = "byte_bpe_50k", folder: s
     Empty and null texts have no tokens, so their ids are the empty list; strings that look like
     special tokens are ordinary text. Repeated rows are encoded each. No shuffle: one pass.
     """
+    shipped(documents, name, folder)
     schema = pa.schema([(key, pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(name, folder)
+        coder = encoder(name, SparkFiles.getRootDirectory())
         for batch in batches:
             ids = [coder.encode(t) if t else [] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
@@ -140,10 +147,11 @@ def token_counts(documents: DataFrame, name: str = "byte_bpe_50k", folder: str =
     """(doc_id, kept columns, n_tokens) of every document; 0 for empty and null texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = encoder(name, folder)
+        coder = encoder(name, SparkFiles.getRootDirectory())
         for batch in batches:
             yield batch.drop(columns=text).assign(n_tokens=[coder.count(t) if t else 0 for t in batch[text]])
 
+    shipped(documents, name, folder)
     kept = documents.select(key, *keep, text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != text)
     return kept.mapInPandas(count, f"{fields}, n_tokens long")
@@ -151,9 +159,10 @@ def token_counts(documents: DataFrame, name: str = "byte_bpe_50k", folder: str =
 
 def decode_ids(encoded: DataFrame, name: str = "byte_bpe_50k", folder: str = TOKENIZERS, key: str = "doc_id") -> DataFrame:
     """(doc_id, text) back from ids."""
+    shipped(encoded, name, folder)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = encoder(name, folder)
+        coder = encoder(name, SparkFiles.getRootDirectory())
         for batch in batches:
             yield pd.DataFrame({key: batch[key], "text": [coder.decode(i) for i in batch["ids"]]})
 

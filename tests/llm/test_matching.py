@@ -1,4 +1,6 @@
-from lociflow.llm.matching import deletions, match_drugs
+import random
+
+from lociflow.llm.matching import drug_segments, match_drugs, near_segments, rule_report
 from pyspark.sql import functions as F
 
 DRUG = "drug_id long, drug_name string, drug_chembl_id string, drug_inchikey string, drug_pubchem_cid string, mol_weight double, synonyms array<string>, extra string"
@@ -32,7 +34,25 @@ def test_empty(spark):
     assert _match(spark, [], []) == {} and _match(spark, [(1, "a", None, None, None, None, None)], []) == {}
 
 
-def test_two_edits_share_a_deletion(spark):
-    df = spark.createDataFrame([("abcdef", "abdfeg"), ("kitten", "kiten"), ("same", "same"), ("ab", "ba")], "a string, b string")
-    rows = df.select(F.levenshtein("a", "b").alias("d"), F.arrays_overlap(deletions(F.col("a"), 2), deletions(F.col("b"), 2)).alias("met")).collect()
-    assert all(r.met for r in rows if r.d <= 2)
+def test_names_of_two_edits_share_a_third(spark):
+    rng = random.Random(4)
+    rows = [("abcdef", "abdfeg"), ("kitten", "kiten"), ("same", "same"), ("ab", "ba"), ("a", "abc")]
+    for _ in range(400):
+        word = [rng.choice("abc") for _ in range(rng.randrange(1, 14))]
+        other = list(word)
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(other) + 1)
+            other[at : at + rng.randrange(2)] = [rng.choice("abcx")] * rng.randrange(2)
+        rows.append(("".join(word), "".join(other) or "a"))
+    df = spark.createDataFrame(rows, "a string, b string")
+    met = df.select(F.levenshtein("a", "b").alias("d"), F.arrays_overlap(near_segments(F.col("a")), drug_segments(F.col("b"))).alias("met"))
+    assert all(r.met for r in met.collect() if r.d <= 2)
+
+
+def test_long_names_and_report(spark):
+    stem = "pentacyclo" * 12
+    drugs = [(1, f"{stem}mab", "CHEMBL1", None, "1001", 900.5, None), (2, "Sevomide", "CHEMBL2", KEY[0], "2002", 222.2, None)]
+    compounds = [(10, f"{stem}maab", None, None, None, 900.5), (11, "Sevomide", None, KEY[0], None, 222.2)]
+    assert {k: v[0] for k, v in _match(spark, drugs, compounds).items()} == {10: 1, 11: 2}
+    report = {r.rule: r for r in rule_report(spark.createDataFrame([(*d, None) for d in drugs], DRUG), spark.createDataFrame([(*c, None) for c in compounds], COMPOUND)).collect()}
+    assert {r: (x.found, x.returned) for r, x in report.items()} == {"near_name_and_mass": (1, 1), "inchikey": (1, 1)}
