@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.functions.alleles import clean_allele, complement, is_palindromic, minor_frequency, orientation
+from lociflow.functions.alleles import clean_allele, complement, is_palindromic, minor_frequency
 from lociflow.functions.identifiers import rsid
 from lociflow.functions.stats import CHI2_MEDIAN, finite, z_of_p
 from lociflow.operators.components import connected_components
-from lociflow.operators.estimators import colocalisation, interpolated_median_ratio, inverse_variance_meta, log_bayes_factor, mendelian_estimates, steiger_z, weighted_lower_median
 from lociflow.operators.merging import keep_first
 from lociflow.operators.ranges import collapse_loci, range_join
 from lociflow.operators.ranks import benjamini_hochberg, order_statistics, running_counts, value_counts
@@ -17,10 +16,8 @@ from lociflow.session import table
 
 #: The extended major histocompatibility region on chromosome 6, GRCh37.
 MHC_START, MHC_END = 25_000_000, 34_000_000
-#: Genome-wide and suggestive significance.
-GENOME_WIDE, SUGGESTIVE = 5e-8, 1e-4
-#: The study that stands for the outcome.
-OUTCOME = "GS00001"
+#: Genome-wide significance.
+GENOME_WIDE = 5e-8
 MEGABASE = 1_000_000
 
 
@@ -72,23 +69,6 @@ def v_case_control_n(spark: SparkSession, d: str) -> DataFrame:
     return out.drop("n_cases", "n_controls")
 
 
-def v_harmonised(spark: SparkSession, d: str) -> DataFrame:
-    """Variants laid to a reference panel (the outcome study's): by rs number, then by place for those without a partner.
-
-    Palindromes are dropped; flipped alleles change the effect's sign.
-    """
-    rows = canonical(spark, d).where(F.col("a1").isNotNull() & F.col("a2").isNotNull())
-    panel = rows.where(F.col("study_id") == OUTCOME)
-    first = lambda keys: keep_first(panel.where(F.col(keys[0]).isNotNull()).select(*keys, F.col("a1").alias("alt"), F.col("a2").alias("ref"), F.col("row_id").alias("panel_row")), keys, [F.col("panel_row")])
-    ids = first(["snp"])
-    named = rows.join(ids, "snp").withColumn("via", F.lit("snp"))
-    rest = rows.join(ids.select("snp"), "snp", "left_anti").join(first(["chr", "pos"]), ["chr", "pos"]).withColumn("via", F.lit("place"))
-    both = named.unionByName(rest, allowMissingColumns=True)
-    how = orientation(F.col("a1"), F.col("a2"), F.col("alt"), F.col("ref"))
-    laid = both.where(~is_palindromic(F.col("a1"), F.col("a2"))).withColumn("how", how).where("how is not null")
-    return laid.select("row_id", "panel_row", "via", "how", F.round(F.when(F.col("how").endswith("flipped"), -F.col("beta")).otherwise(F.col("beta")), 6).alias("beta"))
-
-
 def v_palindromes(spark: SparkSession, d: str) -> DataFrame:
     """Allele pairs, their complements and whether they are palindromic."""
     rows = canonical(spark, d).where(F.col("a1").isNotNull() & F.col("a2").isNotNull())
@@ -109,11 +89,6 @@ def v_fdr(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v_fdr_all(spark: SparkSession, d: str) -> DataFrame:
-    """False discovery rates over all rows at once, for values below one per cent."""
-    return v_fdr_whole(spark, d).where("p < 0.01")
-
-
-def v_fdr_whole(spark: SparkSession, d: str) -> DataFrame:
     """False discovery rates over all rows at once, of every distinct p value."""
     q = benjamini_hochberg(table(spark, d, "gwas_variants"), [], "p")
     return q.select("p", "n", "rank", F.round("q", 9).alias("q"))
@@ -137,23 +112,14 @@ def v_lambda_gc(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    """Observed against expected -log10 p of each study's distinct values below the suggestive line."""
-    return v_quantiles_whole(spark, d).where(F.col("p") < SUGGESTIVE)
-
-
-def v_quantiles_whole(spark: SparkSession, d: str) -> DataFrame:
     """Observed against expected -log10 p of every distinct value of each study."""
     v = table(spark, d, "gwas_variants")
     placed = running_counts(value_counts(v.where((F.col("p") > 0) & (F.col("p") <= 1)), ["study_id"], "p"), ["study_id"], "p")
-    return placed.select("study_id", "p", F.round(-F.log10("p"), 6).alias("observed"), F.round(-F.log10((F.col("below") + (F.col("n") + 1) / 2 - 0.5) / F.col("total")), 6).alias("expected"))
+    middle = (F.col("below") + (F.col("n") + 1) / 2 - 0.5) / F.col("total")
+    return placed.select("study_id", "p", F.round(-F.log10("p"), 6).alias("observed"), F.round(-F.log10(middle), 6).alias("expected"))
 
 
 def v_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Variants within 500 kb of each study's strongest hits (p below 1e-30): how many, and the best of them."""
-    return windows(canonical(spark, d), 1e-30)
-
-
-def v_windows_whole(spark: SparkSession, d: str) -> DataFrame:
     """Variants within 500 kb of every genome-wide significant hit: how many, and the best of them."""
     return windows(canonical(spark, d), GENOME_WIDE)
 
@@ -169,11 +135,6 @@ def windows(rows: DataFrame, p: float) -> DataFrame:
 
 
 def v_linked_leads(spark: SparkSession, d: str) -> DataFrame:
-    """Strong hits (p below 1e-20) of all studies linked where they are within 500 kb: the smallest row of each cluster."""
-    return linked(canonical(spark, d).where("p < 1e-20"))
-
-
-def v_linked_leads_whole(spark: SparkSession, d: str) -> DataFrame:
     """Genome-wide significant hits of all studies linked where they are within 500 kb: the smallest row of each cluster."""
     return linked(canonical(spark, d).where(F.col("p") < GENOME_WIDE))
 
@@ -204,134 +165,16 @@ def region_leads(rows: DataFrame) -> DataFrame:
     return keep_first(usable, ["study_id", "chr", "mb"], [F.col("p"), F.col("row_id")])
 
 
-def paired_regions(spark: SparkSession, d: str) -> DataFrame:
-    """Each study's leads beside the outcome study's lead of the same region (at most a few thousand regions a study)."""
-    leads = region_leads(canonical(spark, d))
-    outcome = leads.where(F.col("study_id") == OUTCOME).select("chr", "mb", *[F.col(c).alias(f"o_{c}") for c in ("beta", "se", "p", "n")])
-    return leads.where(F.col("study_id") != OUTCOME).join(outcome, ["chr", "mb"])
-
-
-def aligned_variants(rows: DataFrame) -> DataFrame:
-    """Usable rows with alleles, the effect laid to one spelling of the variant.
-
-    ``alleles`` is the first of the pair's four spellings (either order, either strand); a row whose
-    effect allele is the other one changes its sign. A palindrome's strand, so its sign, is unknown.
-    """
-    a1, a2 = F.col("a1"), F.col("a2")
-    c1, c2 = complement(a1), complement(a2)
-    spell = lambda a, b: F.concat_ws("/", a, b)
-    known = rows.where((F.col("p") > 0) & (F.col("p") <= 1) & (F.col("se") > 0) & F.col("beta").isNotNull() & a1.isNotNull() & a2.isNotNull())
-    named = known.withColumn("palindromic", is_palindromic(a1, a2)).withColumn("alleles", F.least(spell(a1, a2), spell(a2, a1), spell(c1, c2), spell(c2, c1)))
-    same = F.col("alleles").isin(spell(a1, a2), spell(c1, c2))
-    return named.withColumn("beta", F.when(same, F.col("beta")).otherwise(-F.col("beta"))).select("row_id", "study_id", "snp", "chr", "pos", "alleles", "palindromic", "beta", "se", "p", "n")
-
-
-def paired_variants(spark: SparkSession, d: str) -> DataFrame:
-    """Each study's variants beside the outcome study's row of the same variant, effects of the same allele.
-
-    By rs number, then by place for those whose number the outcome study hasn't, as ``v_harmonised``;
-    alleles must match in some orientation. One row a study and variant (the smallest row_id).
-    """
-    rows = aligned_variants(canonical(spark, d))
-    place = F.coalesce(F.concat_ws(":", *[F.when(F.col("chr").isNotNull() & F.col("pos").isNotNull(), F.col(c).cast("string")) for c in ("chr", "pos")]), F.lit(""))
-    outcome = keep_first(rows.where(F.col("study_id") == OUTCOME).withColumn("__at", F.when(place != "", place).otherwise(F.col("snp"))), ["__at", "alleles"], [F.col("row_id")])
-    values = [F.col(c).alias(f"o_{c}") for c in ("row_id", "beta", "se", "p", "n")]
-    by = lambda keys: keep_first(outcome.where(" and ".join(f"{k} is not null" for k in keys)).select(*keys, "alleles", *values), [*keys, "alleles"], [F.col("o_row_id")])
-    others, ids = rows.where(F.col("study_id") != OUTCOME), by(["snp"])
-    named = others.join(ids, ["snp", "alleles"])
-    rest = others.join(rows.where(F.col("study_id") == OUTCOME).select("snp").distinct(), "snp", "left_anti").join(by(["chr", "pos"]), ["chr", "pos", "alleles"])
-    return keep_first(named.unionByName(rest), ["study_id", "o_row_id"], [F.col("row_id")])
-
-
-def v_meta(spark: SparkSession, d: str) -> DataFrame:
-    """Fixed-effects meta-analysis over the studies' leads of each region."""
-    m = inverse_variance_meta(region_leads(canonical(spark, d)), ["chr", "mb"], "beta", "se", "study_id", "p")
-    return m.select("chr", "mb", "k", *[F.round(c, 6).alias(c) for c in ("beta", "se", "z", "q", "i2")], "best")
-
-
-def v_meta_variants(spark: SparkSession, d: str) -> DataFrame:
-    """Fixed-effects meta-analysis of every variant over all studies, effects of the same allele; no palindromes.
-
-    A variant is known by its rs number, without one by that of others at its place, else by the place.
-    """
-    rows = aligned_variants(canonical(spark, d)).where("not palindromic")
-    places = rows.where("snp is not null and chr is not null and pos is not null").groupBy("chr", "pos").agg(F.min("snp").alias("there"))
-    spot = F.when(F.col("chr").isNotNull() & F.col("pos").isNotNull(), F.concat_ws(":", F.col("chr").cast("string"), F.col("pos").cast("string")))
-    named = rows.join(places, ["chr", "pos"], "left").withColumn("variant", F.coalesce("snp", "there", spot)).where("variant is not null")
-    once = keep_first(named.drop("chr", "pos", "snp", "there"), ["study_id", "variant", "alleles"], [F.col("row_id")])
-    m = inverse_variance_meta(once, ["variant", "alleles"], "beta", "se", "study_id", "p")
-    return m.select("variant", "alleles", "k", *[F.round(c, 6).alias(c) for c in ("beta", "se", "z", "q", "i2")], "best")
-
-
-def instruments(spark: SparkSession, d: str) -> DataFrame:
-    """Shared variants that are no palindromes, of an F of 4 or more in the exposure."""
-    return paired_variants(spark, d).where(~F.col("palindromic") & (F.pow(F.col("beta") / F.col("se"), 2) >= 4))
-
-
-def v_mendelian_variants(spark: SparkSession, d: str) -> DataFrame:
-    """Mendelian randomisation of the outcome study on every other: all shared variants with an F of 4 or more, alleles aligned."""
-    m = mendelian_estimates(instruments(spark, d), "study_id", "beta", "se", "o_beta", "o_se")
-    return m.select("study_id", "k", *[F.round(c, 5).alias(c) for c in m.columns[2:]])
-
-
-def v_mendelian(spark: SparkSession, d: str) -> DataFrame:
-    """Mendelian randomisation of the outcome study on every other: leads of shared regions as instruments (F of 4 or more)."""
-    strong = paired_regions(spark, d).where(F.pow(F.col("beta") / F.col("se"), 2) >= 4)
-    m = mendelian_estimates(strong, "study_id", "beta", "se", "o_beta", "o_se")
-    return m.select("study_id", "k", *[F.round(c, 5).alias(c) for c in m.columns[2:]])
-
-
-def v_ratio_median(spark: SparkSession, d: str) -> DataFrame:
-    """Lower weighted median of the Wald ratios per study."""
-    ratios = paired_regions(spark, d).where("abs(beta) > 0").select("study_id", F.round(F.col("o_beta") / F.col("beta"), 9).alias("ratio"), F.round(F.pow(F.col("beta") / F.col("o_se"), 2), 6).alias("weight"))
-    return weighted_lower_median(ratios, ["study_id"], "ratio", "weight")
-
-
-def v_weighted_median(spark: SparkSession, d: str) -> DataFrame:
-    """Interpolated weighted median of the Wald ratios per study of three or more instruments, those of ``v_mendelian_variants``."""
-    return interpolated_median_ratio(instruments(spark, d), "study_id", "row_id", "beta", "se", "o_beta", "o_se").withColumn("ratio", F.round("ratio", 6))
-
-
-def v_median_regions(spark: SparkSession, d: str) -> DataFrame:
-    """The same over ``v_mendelian``'s instruments."""
-    strong = paired_regions(spark, d).where(F.pow(F.col("beta") / F.col("se"), 2) >= 4)
-    return interpolated_median_ratio(strong, "study_id", "row_id", "beta", "se", "o_beta", "o_se").withColumn("ratio", F.round("ratio", 6))
-
-
-def v_coloc(spark: SparkSession, d: str) -> DataFrame:
-    """Colocalisation posteriors of every study with the outcome study per chromosome, over shared regions."""
-    rows = paired_regions(spark, d).select("study_id", "chr", log_bayes_factor(F.col("beta"), F.col("se"), 0.04).alias("one"), log_bayes_factor(F.col("o_beta"), F.col("o_se"), 0.04).alias("two"))
-    post = colocalisation(rows, ["study_id", "chr"], "one", "two")
-    return post.select("study_id", "chr", "n_snps", *[F.round(f"h{i}", 6).alias(f"h{i}") for i in range(5)])
-
-
-def v_coloc_variants(spark: SparkSession, d: str) -> DataFrame:
-    """Colocalisation posteriors of every study with the outcome study per region (megabase), over all shared variants."""
-    rows = paired_variants(spark, d).where("chr is not null and pos is not null").select("study_id", "chr", F.floor(F.col("pos") / MEGABASE).alias("mb"), log_bayes_factor(F.col("beta"), F.col("se"), 0.04).alias("one"), log_bayes_factor(F.col("o_beta"), F.col("o_se"), 0.04).alias("two"))
-    post = colocalisation(rows, ["study_id", "chr", "mb"], "one", "two")
-    return post.select("study_id", "chr", "mb", "n_snps", *[F.round(f"h{i}", 6).alias(f"h{i}") for i in range(5)])
-
-
-def steiger(rows: DataFrame) -> DataFrame:
-    r2 = lambda b, s, n: F.pow(F.col(b) / F.col(s), 2) / (F.pow(F.col(b) / F.col(s), 2) + F.col(n))
-    z = steiger_z(r2("beta", "se", "n"), r2("o_beta", "o_se", "o_n"), F.col("n"), F.col("o_n"))
-    return rows.where("n > 3 and o_n > 3").select("row_id", F.round(z, 6).alias("steiger_z"), (z > 0).alias("forward"))
-
-
-def v_steiger_variants(spark: SparkSession, d: str) -> DataFrame:
-    """Direction of effect of every shared variant, as ``v_steiger``."""
-    return steiger(paired_variants(spark, d))
-
-
-def v_steiger(spark: SparkSession, d: str) -> DataFrame:
-    """Direction of effect in the lead regions: z of the difference between the variance explained in exposure and outcome."""
-    return steiger(paired_regions(spark, d))
-
-
-QUERIES = {q.__name__: q for q in (v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_harmonised, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_fdr_whole, v_cutoffs, v_lambda_gc, v_quantiles, v_quantiles_whole, v_windows, v_windows_whole, v_linked_leads, v_linked_leads_whole, v_loci, v_best_per_region, v_meta, v_meta_variants, v_mendelian, v_mendelian_variants, v_ratio_median, v_weighted_median, v_median_regions, v_coloc, v_coloc_variants, v_steiger, v_steiger_variants)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs,
+        v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_best_per_region,
+    )
+}
 
 _FINITE = lambda c: f"CASE WHEN NOT isnan({c}) AND abs({c}) < 'inf'::DOUBLE THEN {c} END"
-_CANONICAL = f"""
+CANONICAL_SQL = f"""
     raw AS (
       SELECT row_id, study_id, nullif(regexp_extract(lower(trim(snp)), '^rs[0-9]+'), '') AS snp, chr, pos,
              CASE WHEN regexp_full_match(upper(trim(a1)), '[ACGT]+') THEN upper(trim(a1)) END AS a1,
@@ -340,12 +183,10 @@ _CANONICAL = f"""
              coalesce(nullif(n, 0), nullif(coalesce(n_cas, n_cases) + coalesce(n_con, n_controls), 0)) AS n
       FROM gwas_variants v LEFT JOIN gwas_studies s USING (study_id)),
     c AS (SELECT *, concat_ws(':', CAST(chr AS VARCHAR), CAST(pos AS VARCHAR), a2, a1) AS variant_id FROM raw)"""
-_LEADS = f"""{_CANONICAL},
+_LEADS = f"""{CANONICAL_SQL},
     leads AS (
       SELECT *, CAST(floor(pos / 1000000) AS BIGINT) AS mb FROM c WHERE p > 0 AND p <= 1 AND se > 0 AND beta IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY study_id, chr, CAST(floor(pos / 1000000) AS BIGINT) ORDER BY p, row_id) = 1),
-    o AS (SELECT chr, mb, beta AS o_beta, se AS o_se, p AS o_p, n AS o_n FROM leads WHERE study_id = '{OUTCOME}'),
-    pairs AS (SELECT l.*, o_beta, o_se, o_p, o_n FROM leads l JOIN o USING (chr, mb) WHERE study_id <> '{OUTCOME}')"""
+      QUALIFY row_number() OVER (PARTITION BY study_id, chr, CAST(floor(pos / 1000000) AS BIGINT) ORDER BY p, row_id) = 1)"""
 _VALID = "p IS NOT NULL AND NOT isnan(p) AND p >= 0 AND p <= 1"
 
 
@@ -362,15 +203,13 @@ def _z(p: str) -> str:
     return f"greatest({t} - (2.515517 + 0.802853 * {t} + 0.010328 * {t} * {t}) / (1 + 1.432788 * {t} + 0.189269 * {t} * {t} + 0.001308 * {t} * {t} * {t}), 0.0)"
 
 
-_LABF = lambda b, s: f"0.5 * (ln(1 - 0.04 / (0.04 + {s} * {s})) + 0.04 / (0.04 + {s} * {s}) * {b} * {b} / ({s} * {s}))"
-
 SQL = {
-    "v_canonical": f"WITH {_CANONICAL} SELECT row_id, snp, a1, a2, n, variant_id, round(maf, 6) AS maf FROM c",
-    "v_quality_control": f"""WITH {_CANONICAL} SELECT row_id, study_id, variant_id, p FROM c
+    "v_canonical": f"WITH {CANONICAL_SQL} SELECT row_id, snp, a1, a2, n, variant_id, round(maf, 6) AS maf FROM c",
+    "v_quality_control": f"""WITH {CANONICAL_SQL} SELECT row_id, study_id, variant_id, p FROM c
         WHERE coalesce(info >= 0.8, true) AND coalesce(maf >= 0.01, true) AND p > 0 AND p <= 1 AND chr IS NOT NULL AND pos IS NOT NULL AND a1 IS NOT NULL
           AND a2 IS NOT NULL AND beta IS NOT NULL AND se IS NOT NULL AND NOT (chr = 6 AND pos BETWEEN {MHC_START} AND {MHC_END})
         QUALIFY row_number() OVER (PARTITION BY study_id, variant_id ORDER BY row_id) = 1""",
-    "v_filter_counts": f"""WITH {_CANONICAL} SELECT study_id, count(*) AS total, count(*) FILTER (info < 0.8) AS low_info, count(*) FILTER (maf < 0.01) AS low_maf,
+    "v_filter_counts": f"""WITH {CANONICAL_SQL} SELECT study_id, count(*) AS total, count(*) FILTER (info < 0.8) AS low_info, count(*) FILTER (maf < 0.01) AS low_maf,
         count(*) FILTER (p IS NULL OR p <= 0 OR p > 1) AS bad_p, count(*) FILTER (snp IS NULL) AS no_snp,
         count(*) FILTER (a1 || a2 IN ('AT', 'TA', 'CG', 'GC')) AS palindromic FROM c GROUP BY study_id""",
     "v_case_control_n": """
@@ -378,24 +217,13 @@ SQL = {
         SELECT s.study_id, coalesce(n_cases, a) AS n_cas, CASE WHEN n_cases IS NOT NULL THEN 'registered' WHEN a IS NOT NULL THEN 'median' ELSE 'none' END AS n_cas_from,
                coalesce(n_controls, b) AS n_con, CASE WHEN n_controls IS NOT NULL THEN 'registered' WHEN b IS NOT NULL THEN 'median' ELSE 'none' END AS n_con_from
         FROM gwas_studies s LEFT JOIN m USING (study_id)""",
-    "v_harmonised": f"""WITH {_CANONICAL},
-        rows_ AS (SELECT * FROM c WHERE a1 IS NOT NULL AND a2 IS NOT NULL), panel AS (SELECT * FROM rows_ WHERE study_id = '{OUTCOME}'),
-        ids AS (SELECT snp, a1 AS alt, a2 AS ref, row_id AS panel_row FROM panel WHERE snp IS NOT NULL QUALIFY row_number() OVER (PARTITION BY snp ORDER BY row_id) = 1),
-        places AS (SELECT chr, pos, a1 AS alt, a2 AS ref, row_id AS panel_row FROM panel WHERE chr IS NOT NULL QUALIFY row_number() OVER (PARTITION BY chr, pos ORDER BY row_id) = 1),
-        both_ AS (SELECT r.*, alt, ref, panel_row, 'snp' AS via FROM rows_ r JOIN ids USING (snp)
-                  UNION ALL BY NAME SELECT r.*, alt, ref, panel_row, 'place' AS via FROM rows_ r JOIN places USING (chr, pos) WHERE snp IS NULL OR snp NOT IN (SELECT snp FROM ids)),
-        laid AS (SELECT *, CASE WHEN a1 = alt AND a2 = ref THEN 'direct' WHEN a1 = ref AND a2 = alt THEN 'flipped'
-                     WHEN translate(a1, 'ACGT', 'TGCA') = alt AND translate(a2, 'ACGT', 'TGCA') = ref THEN 'complement'
-                     WHEN translate(a1, 'ACGT', 'TGCA') = ref AND translate(a2, 'ACGT', 'TGCA') = alt THEN 'complement_flipped' END AS how
-                 FROM both_ WHERE a1 || a2 NOT IN ('AT', 'TA', 'CG', 'GC'))
-        SELECT row_id, panel_row, via, how, round(CASE WHEN how LIKE '%flipped' THEN -beta ELSE beta END, 6) AS beta FROM laid WHERE how IS NOT NULL""",
-    "v_palindromes": f"""WITH {_CANONICAL} SELECT a1, a2, translate(a1, 'ACGT', 'TGCA') AS c1, translate(a2, 'ACGT', 'TGCA') AS c2,
+    "v_palindromes": f"""WITH {CANONICAL_SQL} SELECT a1, a2, translate(a1, 'ACGT', 'TGCA') AS c1, translate(a2, 'ACGT', 'TGCA') AS c2,
         a1 || a2 IN ('AT', 'TA', 'CG', 'GC') AS palindromic, count(*) AS n FROM c WHERE a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY a1, a2""",
-    "v_effect_from_z": f"""WITH {_CANONICAL}, z AS (SELECT row_id, beta / se AS z, CASE WHEN maf > 0 AND maf < 1 THEN least(maf, 1 - maf) END AS f, n FROM c WHERE se > 0),
+    "v_effect_from_z": f"""WITH {CANONICAL_SQL}, z AS (SELECT row_id, beta / se AS z, CASE WHEN maf > 0 AND maf < 1 THEN least(maf, 1 - maf) END AS f, n FROM c WHERE se > 0),
         s AS (SELECT *, 2 * f * (1 - f) * (n + z * z) AS size FROM z)
         SELECT row_id, round(z / sqrt(size), 9) AS std_beta, round(1 / sqrt(size), 9) AS std_se FROM s WHERE size > 0""",
     "v_fdr": f"WITH {_bh('study_id')} SELECT study_id, p, n, rank, round(q, 9) AS q FROM q",
-    "v_fdr_all": f"WITH {_bh('')} SELECT p, n, rank, round(q, 9) AS q FROM q WHERE p < 0.01",
+    "v_fdr_all": f"WITH {_bh('')} SELECT p, n, rank, round(q, 9) AS q FROM q",
     "v_cutoffs": f"""WITH {_bh("study_id")} SELECT study_id, max(total) AS tests, CAST(sum(CASE WHEN p < 0.05 / total THEN n ELSE 0 END) AS BIGINT) AS n_bonferroni,
         CAST(sum(CASE WHEN q < 0.05 THEN n ELSE 0 END) AS BIGINT) AS n_fdr, round(max(CASE WHEN q < 0.05 THEN p END), 12) AS fdr_p, round(0.05 / max(total), 12) AS bonferroni_p FROM q GROUP BY study_id""",
     "v_lambda_gc": f"""WITH m AS (SELECT study_id, count(*) AS n, quantile_cont(p, 0.5) AS p FROM gwas_variants WHERE {_VALID} AND p > 0 GROUP BY study_id),
@@ -403,42 +231,22 @@ SQL = {
         SELECT study_id, n, round(l, 6) AS lambda_gc, round(1 + (l - 1) * 1000 / n, 6) AS lambda_1000 FROM l""",
     "v_quantiles": f"""WITH d AS (SELECT study_id, p, count(*) AS n FROM gwas_variants WHERE {_VALID} AND p > 0 GROUP BY study_id, p),
         r AS (SELECT *, sum(n) OVER (PARTITION BY study_id ORDER BY p) - n AS below, sum(n) OVER (PARTITION BY study_id) AS total FROM d)
-        SELECT study_id, p, round(-log10(p), 6) AS observed, round(-log10((below + (n + 1) / 2 - 0.5) / total), 6) AS expected FROM r WHERE p < 1e-4""",
-    "v_windows": f"""WITH {_CANONICAL}, l AS (SELECT chr, row_id AS lead, pos - 500000 AS lo, pos + 500000 AS hi FROM c WHERE p < 1e-30)
+        SELECT study_id, p, round(-log10(p), 6) AS observed, round(-log10((below + (n + 1) / 2 - 0.5) / total), 6) AS expected FROM r""",
+    "v_windows": f"""WITH {CANONICAL_SQL}, l AS (SELECT chr, row_id AS lead, pos - 500000 AS lo, pos + 500000 AS hi FROM c WHERE p < {GENOME_WIDE})
         SELECT lead, count(*) AS n_near, min(p) AS best_p, min(pos) AS first_pos FROM c JOIN l ON c.chr = l.chr AND pos BETWEEN lo AND hi GROUP BY lead""",
-    "v_linked_leads": f"""WITH {_CANONICAL}, h AS (SELECT row_id, chr, pos, CAST(coalesce(pos - lag(pos) OVER (PARTITION BY chr ORDER BY pos, row_id) > 500000, true) AS INT) AS new FROM c WHERE p < 1e-20),
+    "v_linked_leads": f"""WITH {CANONICAL_SQL}, h AS (SELECT row_id, chr, pos, CAST(coalesce(pos - lag(pos) OVER (PARTITION BY chr ORDER BY pos, row_id) > 500000, true) AS INT) AS new FROM c WHERE p < {GENOME_WIDE}),
         i AS (SELECT *, sum(new) OVER (PARTITION BY chr ORDER BY pos, row_id) AS island FROM h) SELECT row_id, min(row_id) OVER (PARTITION BY chr, island) AS component FROM i""",
     "v_best_per_region": f"WITH {_LEADS} SELECT study_id, chr, mb, row_id, p FROM leads",
-    "v_meta": f"""WITH {_LEADS}, s AS (SELECT chr, mb, count(*) AS k, sum(1 / (se * se)) AS w, sum(beta / (se * se)) AS wb, sum(beta * beta / (se * se)) AS wbb FROM leads GROUP BY chr, mb),
-        b AS (SELECT chr, mb, study_id AS best FROM leads QUALIFY row_number() OVER (PARTITION BY chr, mb ORDER BY p, study_id) = 1),
-        q AS (SELECT *, CASE WHEN k > 1 THEN greatest(wbb - wb * wb / w, 0.0) ELSE 0.0 END AS q FROM s JOIN b USING (chr, mb))
-        SELECT chr, mb, k, round(wb / w, 6) AS beta, round(1 / sqrt(w), 6) AS se, round(wb / sqrt(w), 6) AS z, round(q, 6) AS q,
-               round(CASE WHEN q > 0 THEN greatest((q - (k - 1)) / q * 100, 0.0) ELSE 0.0 END, 6) AS i2, best FROM q""",
-    "v_mendelian": f"""WITH {_LEADS},
-        u AS (SELECT study_id, beta AS x0, se AS sx, o_beta AS y0, o_se AS sy, abs(beta) AS x, o_beta * sign(beta) AS y, 1 / (o_se * o_se) AS w FROM pairs WHERE power(beta / se, 2) >= 4 AND beta <> 0),
-        l AS (SELECT study_id, y0 / x0 AS wald, sqrt(power(sy / x0, 2) + power(y0 * sx / (x0 * x0), 2)) AS wald_se FROM u
-              QUALIFY row_number() OVER (PARTITION BY study_id ORDER BY abs(x0 / sx) DESC, x0 DESC, sx DESC, y0 DESC, sy DESC) = 1),
-        s AS (SELECT study_id, count(*) AS k, sum(w) AS w, sum(w * x) AS wx, sum(w * y) AS wy, sum(w * x * x) AS wxx, sum(w * x * y) AS wxy, sum(w * y * y) AS wyy FROM u GROUP BY study_id),
-        e AS (SELECT *, greatest(wyy - wxy * wxy / wxx, 0.0) AS q0, w * wxx - wx * wx AS d FROM s),
-        f AS (SELECT *, (w * wxy - wx * wy) / nullif(d, 0) AS slope, (wxx * wy - wx * wxy) / nullif(d, 0) AS icpt FROM e),
-        g AS (SELECT *, greatest((wyy - icpt * wy - slope * wxy) / nullif(k - 2, 0), 1.0) AS spread FROM f)
-        SELECT study_id, k, round(wald, 5) AS wald, round(wald_se, 5) AS wald_se, round(CASE WHEN k >= 2 THEN wxy / wxx END, 5) AS ivw, round(CASE WHEN k >= 2 THEN 1 / sqrt(wxx) END, 5) AS ivw_se,
-               round(CASE WHEN k >= 2 THEN q0 END, 5) AS q, round(CASE WHEN k >= 2 THEN 1 / sqrt(wxx) * greatest(1.0, sqrt(q0 / (k - 1))) END, 5) AS ivw_re_se,
-               round(CASE WHEN k >= 3 THEN slope END, 5) AS egger, round(CASE WHEN k >= 3 THEN sqrt(spread * w / d) END, 5) AS egger_se,
-               round(CASE WHEN k >= 3 THEN icpt END, 5) AS intercept, round(CASE WHEN k >= 3 THEN sqrt(spread * wxx / d) END, 5) AS intercept_se FROM g JOIN l USING (study_id)""",
-    "v_ratio_median": f"""WITH {_LEADS}, r AS (SELECT study_id, round(o_beta / beta, 9) AS ratio, round(power(beta / o_se, 2), 6) AS weight FROM pairs WHERE abs(beta) > 0),
-        s AS (SELECT study_id, ratio, sum(weight) AS w FROM r WHERE weight > 0 GROUP BY study_id, ratio),
-        t AS (SELECT *, sum(w) OVER (PARTITION BY study_id ORDER BY ratio) AS run, sum(w) OVER (PARTITION BY study_id) AS total FROM s)
-        SELECT study_id, min(ratio) AS ratio FROM t WHERE run * 2 >= total GROUP BY study_id""",
-    "v_coloc": f"""WITH {_LEADS}, b AS (SELECT study_id, chr, {_LABF("beta", "se")} AS one, {_LABF("o_beta", "o_se")} AS two FROM pairs),
-        m AS (SELECT study_id, chr, max(one) AS m1, max(two) AS m2, max(one + two) AS m3 FROM b GROUP BY study_id, chr),
-        s AS (SELECT study_id, chr, count(*) AS n_snps, max(m1) + ln(sum(exp(one - m1))) AS s1, max(m2) + ln(sum(exp(two - m2))) AS s2, max(m3) + ln(sum(exp(one + two - m3))) AS s3 FROM b JOIN m USING (study_id, chr) GROUP BY study_id, chr),
-        l AS (SELECT study_id, chr, n_snps, 0.0 AS l0, ln(1e-4) + s1 AS l1, ln(1e-4) + s2 AS l2,
-                     CASE WHEN 1 - exp(s3 - s1 - s2) > 1e-12 THEN ln(1e-4) + ln(1e-4) + s1 + s2 + ln(CASE WHEN 1 - exp(s3 - s1 - s2) > 1e-12 THEN 1 - exp(s3 - s1 - s2) END) END AS l3, ln(1e-5) + s3 AS l4 FROM s),
-        t AS (SELECT *, greatest(l0, l1, l2, coalesce(l3, l0), l4) AS top FROM l),
-        e AS (SELECT study_id, chr, n_snps, exp(l0 - top) AS e0, exp(l1 - top) AS e1, exp(l2 - top) AS e2, coalesce(exp(l3 - top), 0.0) AS e3, exp(l4 - top) AS e4 FROM t)
-        SELECT study_id, chr, n_snps, {", ".join(f"round(e{i} / (e0 + e1 + e2 + e3 + e4), 6) AS h{i}" for i in range(5))} FROM e""",
-    "v_steiger": f"""WITH {_LEADS}, r AS (SELECT row_id, n, o_n, power(beta / se, 2) / (power(beta / se, 2) + n) AS a, power(o_beta / o_se, 2) / (power(o_beta / o_se, 2) + o_n) AS b FROM pairs WHERE n > 3 AND o_n > 3),
-        z AS (SELECT row_id, (atanh(sqrt(a)) - atanh(sqrt(b))) / sqrt(1 / (n - 3) + 1 / (o_n - 3)) AS z FROM r)
-        SELECT row_id, round(z, 6) AS steiger_z, z > 0 AS forward FROM z""",
+    # hits are opened one after the other: a hit further than the window from the present locus' best opens a locus, a better one leads it
+    "v_loci": f"""WITH RECURSIVE {CANONICAL_SQL},
+        h AS (SELECT study_id, chr, pos, min(struct_pack(p := p, name := variant_id)) AS m FROM c WHERE p < {GENOME_WIDE} AND pos IS NOT NULL GROUP BY study_id, chr, pos),
+        i AS (SELECT study_id, chr, pos, m.p AS p, m.name AS name, row_number() OVER (PARTITION BY study_id, chr ORDER BY pos) AS i FROM h),
+        w AS (SELECT study_id, chr, i, pos AS locus_start, pos AS lead_position, p AS lead_p, name AS lead_label, 1 AS n FROM i WHERE i = 1
+              UNION ALL
+              SELECT i.study_id, i.chr, i.i, CASE WHEN i.pos - lead_position > 500000 THEN i.pos ELSE locus_start END, CASE WHEN i.pos - lead_position > 500000 OR i.p < lead_p THEN i.pos ELSE lead_position END,
+                     CASE WHEN i.pos - lead_position > 500000 OR i.p < lead_p THEN i.p ELSE lead_p END, CASE WHEN i.pos - lead_position > 500000 OR i.p < lead_p THEN i.name ELSE lead_label END,
+                     CASE WHEN i.pos - lead_position > 500000 THEN 1 ELSE n + 1 END
+              FROM w JOIN i ON i.study_id = w.study_id AND i.chr IS NOT DISTINCT FROM w.chr AND i.i = w.i + 1)
+        SELECT study_id, chr, locus_start, lead_position, lead_p, lead_label, CAST(n AS BIGINT) AS n_positions FROM w
+        QUALIFY row_number() OVER (PARTITION BY study_id, chr, locus_start ORDER BY n DESC) = 1""",
 }

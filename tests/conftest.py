@@ -28,7 +28,8 @@ def against_sql(spark, query, sql: str, folder: str = SMALL) -> tuple[list[str],
 
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
-        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{files}'")
     got, want = query(spark, folder), con.execute(f"SELECT * FROM ({sql}) t")
     names = sorted(got.columns)
     there = [c[0] for c in want.description]
