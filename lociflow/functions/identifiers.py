@@ -25,7 +25,9 @@ def rsid(snp: Column) -> Column:
 
 
 def chembl_id(text: Column) -> Column:
-    return matched(F.upper(text), "CHEMBL[0-9]+")
+    """The one ChEMBL id in a text; null if there is none or several different ones."""
+    found = F.array_distinct(F.regexp_extract_all(F.upper(text), F.lit("CHEMBL[0-9]+"), F.lit(0)))
+    return F.when(F.size(found) == 1, found[0])
 
 
 def pubchem_cid(text: Column) -> Column:
@@ -39,19 +41,22 @@ def versionless(text: Column) -> Column:
     return F.regexp_replace(text, r"\.[0-9]+$", "")
 
 
-def plain_name(name: Column) -> Column:
-    """Lower case letters and digits only; null if none is left. For ASCII names; see ``ascii_folded``."""
-    key = F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
-    return F.when(key != "", key)
-
-
 @F.pandas_udf(StringType())
 def ascii_folded(names: pd.Series) -> pd.Series:
     """Compatibility-decomposed, ASCII only, case-folded; null stays null."""
-    fold = lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode().casefold()
+
+    def fold(name: str | None) -> str | None:
+        return None if name is None else unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode().casefold()
+
     return names.map(fold)
 
 
+def plain_name(name: Column) -> Column:
+    """Lower case letters and digits only, accents and compatibility forms decomposed; null if none is left."""
+    key = F.regexp_replace(ascii_folded(name), "[^a-z0-9]", "")
+    return F.when(key != "", key)
+
+
 def atc_level(code: Column) -> Column:
     """1 to 5 by the code's length, else 0."""
     out = F

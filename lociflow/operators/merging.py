@@ -16,22 +16,45 @@ def keep_first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return rows.groupBy(*keys).agg(F.min(packed).alias("__m")).select(*keys, *[F.col(f"__m.row.{c}").alias(c) for c in kept])
 
 
+def ordered_unions(rows: DataFrame, keys: list[str], identity: str, lists: dict[str, Column]) -> DataFrame:
+    """(keys, one array a list): the distinct non-null items of all rows' lists, as they first occur by ``identity``.
+
+    Items are reduced before they meet, so a group holds its vocabulary, not its rows. Groups
+    without any item have no row.
+    """
+    each = F.array(*[F.struct(F.lit(name).alias("list"), c.alias("items")) for name, c in lists.items()])
+    named = rows.select(*keys, F.col(identity).alias("__id"), F.explode(each).alias("l"))
+    items = named.select(*keys, "__id", "l.list", F.posexplode("l.items").alias("at", "item")).where(F.col("item").isNotNull())
+    first = items.groupBy(*keys, "list", "item").agg(F.min(F.struct("__id", "at")).alias("first"))
+    entry = F.struct("first", "item")
+    lined = [F.array_sort(F.collect_list(F.when(F.col("list") == name, entry))).alias(name) for name in lists]
+    return first.groupBy(*keys).agg(*lined).select(*keys, *[F.transform(name, lambda x: x["item"]).alias(name) for name in lists])
+
+
+def source_names(raw: Column) -> Column:
+    """The lower-case names of a field that lists sources separated by commas."""
+    names = F.transform(F.split(F.lower(raw), ","), lambda s: F.trim(s))
+    return F.filter(names, lambda s: s != "")
+
+
 def richest_record(rows: DataFrame, keys: list[str], identity: str, scalars: list[str], lists: list[str], sources: str) -> DataFrame:
     """One record per key: the row with most filled cells, its gaps filled from the others.
 
     Ties go to the smallest ``identity``. Empty lists count as missing. A missing scalar takes the
-    first non-null value by ``identity``; lists are united and sorted; ``sources`` becomes the
-    sorted distinct comma-separated names. Adds ``n_records`` and ``kept`` (the identity kept).
+    first non-null value by ``identity``; lists are united in the order of first occurrence;
+    ``sources`` becomes the sorted distinct comma-separated names. Adds ``n_records`` and ``kept``.
     """
-    filled = sum((F.col(c).isNotNull().cast("int") for c in scalars), F.lit(0)) + sum((F.coalesce(F.size(c) > 0, F.lit(False)).cast("int") for c in lists), F.lit(0))
+    cells = [F.col(c).isNotNull() for c in scalars] + [F.coalesce(F.size(c) > 0, F.lit(False)) for c in lists]
+    filled = sum((c.cast("int") for c in cells), F.lit(0))
     best = F.struct(-filled.alias("f"), F.col(identity).alias("id"), *[F.col(c).alias(c) for c in scalars])
     firsts = [F.min(F.when(F.col(c).isNotNull(), F.struct(identity, c))).alias(f"__first_{c}") for c in scalars]
-    unions = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in lists]
-    names = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.filter(F.transform(F.split(F.lower(sources), ","), lambda s: F.trim(s)), lambda s: s != "")))))
-    merged = rows.groupBy(*keys).agg(F.min(best).alias("__best"), F.count("*").alias("n_records"), names.alias("__names"), *firsts, *unions)
-    return merged.select(
-        *keys, F.col("__best.id").alias("kept"), "n_records", F.array_join("__names", ",").alias(sources),
-        *[F.coalesce(F.col(f"__best.{c}"), F.col(f"__first_{c}.{c}")).alias(c) for c in scalars], *lists,
+    merged = rows.groupBy(*keys).agg(F.min(best).alias("__best"), F.count("*").alias("n_records"), *firsts)
+    unions = ordered_unions(rows, keys, identity, {**{c: F.col(c) for c in lists}, sources: source_names(F.col(sources))})
+    nothing = F.array().cast("array<string>")
+    united = [F.coalesce(c, nothing).alias(c) for c in lists]
+    filled_up = [F.coalesce(F.col(f"__best.{c}"), F.col(f"__first_{c}.{c}")).alias(c) for c in scalars]
+    return merged.join(unions, keys, "left").select(
+        *keys, F.col("__best.id").alias("kept"), "n_records", F.array_join(F.array_sort(F.coalesce(sources, nothing)), ",").alias(sources), *filled_up, *united,
     )
 
 

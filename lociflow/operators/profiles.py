@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lociflow.operators.ranks import order_statistics
+
 
 def long_form(rows: DataFrame, keys: list[str], vector: str) -> DataFrame:
     """(keys, item, value): one row per position of an array column, from 0."""
@@ -12,8 +14,11 @@ def long_form(rows: DataFrame, keys: list[str], vector: str) -> DataFrame:
 
 
 def consensus(long: DataFrame, group: str) -> DataFrame:
-    """(group, item, value, n): the median per item over a group's profiles; nulls and NaN don't count."""
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(group, "item").agg(F.median("value").alias("value"), F.count("*").alias("n"))
+    """(group, item, value, n): the exact median per item over a group's profiles; nulls and NaN don't count.
+
+    From one distributed sort, so a label with a third of all profiles is in no single task.
+    """
+    return order_statistics(long, [group, "item"], "value", 0.5)
 
 
 def with_rank(long: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,7 +64,13 @@ def reversal_summary(pairs: DataFrame, left_key: str, right_key: str, strong: fl
 
 
 def top_contributors(left: DataFrame, right: DataFrame, left_key: str, right_key: str, top: int) -> DataFrame:
-    """(left_key, right_key, items): the items whose product of values is largest by size, best first, as a list of text."""
-    products = left.select(left_key, "item", F.col("value").alias("__l")).join(right.select(right_key, "item", F.col("value").alias("__v")), "item")
-    listed = products.groupBy(left_key, right_key).agg(F.array_sort(F.collect_list(F.struct((-F.abs(F.col("__l") * F.col("__v"))).alias("s"), "item"))).alias("all"))
-    return listed.select(left_key, right_key, F.array_join(F.transform(F.slice("all", 1, top), lambda x: x["item"].cast("string")), ",").alias("items"))
+    """(left_key, right_key, items): the items whose product of values is largest by size, best first, as a list of text.
+
+    Each task keeps the ``top`` of a pair before the shuffle, so whole profiles are never gathered.
+    """
+    ours, theirs = left.select(left_key, "item", F.col("value").alias("__l")), right.select(right_key, "item", F.col("value").alias("__v"))
+    products = ours.join(theirs, "item").withColumn("__s", -F.abs(F.col("__l") * F.col("__v")))
+    order = Window.partitionBy(left_key, right_key).orderBy("__s", "item")
+    best = products.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= top)
+    listed = best.groupBy(left_key, right_key).agg(F.array_sort(F.collect_list(F.struct("__r", "item"))).alias("all"))
+    return listed.select(left_key, right_key, F.array_join(F.transform("all", lambda x: x["item"].cast("string")), ",").alias("items"))

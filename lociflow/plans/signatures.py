@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociflow.functions.stats import t_two_sided
 from lociflow.operators.estimators import weighted_lower_median
-from lociflow.operators.profiles import consensus, extreme_sum, long_form, reversal_summary, spearman, top_contributors
+from lociflow.operators.profiles import consensus, directional_p, extreme_sum, long_form, reversal_summary, spearman, top_contributors
+from lociflow.plans.tails import t_two_sided_sql
 from lociflow.session import table
 
 #: Items of a profile.
@@ -23,7 +25,7 @@ def conditions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def correlations(spark: SparkSession, d: str) -> DataFrame:
-    return spearman(conditions(spark, d), profiles(spark, d).select("vec_id", "item", "value"), "label", "vec_id", 10).withColumn("rho", F.round("rho", 6))
+    return spearman(conditions(spark, d), profiles(spark, d).select("vec_id", "item", "value"), "label", "vec_id", 10)
 
 
 def s_consensus(spark: SparkSession, d: str) -> DataFrame:
@@ -32,13 +34,17 @@ def s_consensus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s_spearman(spark: SparkSession, d: str) -> DataFrame:
-    """Rank correlation of every profile with every condition."""
-    return correlations(spark, d)
+    """Rank correlation of every profile with every condition, its two-sided p and the one-sided p of a reversal."""
+    found = correlations(spark, d)
+    t = F.col("rho") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("rho") * F.col("rho")))
+    tested = found.withColumn("two_sided_p", t_two_sided(t, (F.col("n") - 2).cast("double")))
+    reversal = directional_p(F.col("rho"), F.col("two_sided_p"))
+    return tested.select("label", "vec_id", F.round("rho", 6).alias("rho"), "n", F.round("two_sided_p", 6).alias("two_sided_p"), F.round(reversal, 6).alias("reversal_p"))
 
 
 def s_reversal(spark: SparkSession, d: str) -> DataFrame:
     """The condition each profile reverses most."""
-    return reversal_summary(correlations(spark, d), "label", "vec_id", 0.3)
+    return reversal_summary(correlations(spark, d).withColumn("rho", F.round("rho", 6)), "label", "vec_id", 0.3)
 
 
 def s_extreme_sum(spark: SparkSession, d: str) -> DataFrame:
@@ -59,27 +65,24 @@ def s_weighted_median(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s_label_pivot(spark: SparkSession, d: str) -> DataFrame:
-    """Mean of each label's first four items, items as columns."""
-    return s_label_pivot_whole(spark, d).select("label", *[f"item_{i}" for i in range(4)])
-
-
-def s_label_pivot_whole(spark: SparkSession, d: str) -> DataFrame:
     """Mean of each label's items, all of them as columns."""
     p = profiles(spark, d).groupBy("label").pivot("item", list(range(ITEMS))).agg(F.avg("value"))
     return p.select("label", *[F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in range(ITEMS)])
 
 
-QUERIES = {q.__name__: q for q in (s_consensus, s_spearman, s_reversal, s_extreme_sum, s_contributors, s_weighted_median, s_label_pivot, s_label_pivot_whole)}
+QUERIES = {q.__name__: q for q in (s_consensus, s_spearman, s_reversal, s_extreme_sum, s_contributors, s_weighted_median, s_label_pivot)}
 
 _L = """l AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS value, generate_subscripts(embedding, 1) - 1 AS item FROM embeddings),
     c AS (SELECT label, item, median(value) AS value, count(*) AS n FROM l GROUP BY label, item)"""
 _RHO = f"""{_L}, a AS (SELECT label, item, rank() OVER (PARTITION BY label ORDER BY value) + (count(*) OVER (PARTITION BY label, value) - 1) / 2 AS a FROM c),
     b AS (SELECT vec_id, item, rank() OVER (PARTITION BY vec_id ORDER BY value) + (count(*) OVER (PARTITION BY vec_id, value) - 1) / 2 AS b FROM l),
-    rho AS (SELECT label, vec_id, round(corr(a, b), 6) AS rho, count(*) AS n FROM a JOIN b USING (item) GROUP BY label, vec_id)"""
+    raw AS (SELECT label, vec_id, corr(a, b) AS r, count(*) AS n FROM a JOIN b USING (item) GROUP BY label, vec_id),
+    rho AS (SELECT *, round(r, 6) AS rho FROM raw)"""
 
 SQL = {
     "s_consensus": f"WITH {_L} SELECT label, item, round(value, 6) AS value, n FROM c",
-    "s_spearman": f"WITH {_RHO} SELECT label, vec_id, rho, n FROM rho",
+    "s_spearman": f"""WITH {_RHO}, t AS (SELECT *, {t_two_sided_sql("r * sqrt((n - 2) / (1 - r * r))", "n - 2")} AS p2 FROM rho)
+        SELECT label, vec_id, rho, n, round(p2, 6) AS two_sided_p, round(CASE WHEN r < 0 THEN p2 / 2 WHEN r > 0 THEN 1 - p2 / 2 ELSE 0.5 END, 6) AS reversal_p FROM t""",
     "s_reversal": f"""WITH {_RHO}, m AS (SELECT vec_id, label AS best, rho FROM rho QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY rho, label) = 1)
         SELECT vec_id, any_value(best) AS best, any_value(m.rho) AS rho, count(*) AS n_left, count(*) FILTER (abs(r.rho) >= 0.3) AS n_strong, count(*) FILTER (r.rho < 0) AS n_reversing FROM rho r JOIN m USING (vec_id) GROUP BY vec_id""",
     "s_extreme_sum": f"""WITH {_L}, s AS (SELECT vec_id, item, sign(value) AS s FROM l QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY abs(value) DESC, item) <= 10)
@@ -89,5 +92,5 @@ SQL = {
     "s_weighted_median": f"""WITH {_L}, w AS (SELECT label, item, value, sum(CASE WHEN vec_id % 2 = 0 THEN 2 ELSE 1 END) AS w FROM l GROUP BY label, item, value),
         t AS (SELECT *, sum(w) OVER (PARTITION BY label, item ORDER BY value) AS run, sum(w) OVER (PARTITION BY label, item) AS total FROM w)
         SELECT label, item, round(min(value), 6) AS value FROM t WHERE run * 2 >= total GROUP BY label, item""",
-    "s_label_pivot": f"WITH {_L} SELECT label, " + ", ".join(f"round(avg(value) FILTER (item = {i}), 6) AS item_{i}" for i in range(4)) + " FROM l GROUP BY label",
+    "s_label_pivot": f"WITH {_L} SELECT label, " + ", ".join(f"round(avg(value) FILTER (item = {i}), 6) AS item_{i}" for i in range(ITEMS)) + " FROM l GROUP BY label",
 }

@@ -32,7 +32,7 @@ def gene_sets(spark: SparkSession, path: str, least: int = 1, most: int = 2**31
     Lines of fewer than three fields are left out; of sets with one name the smallest line stays.
     """
     parts = text_lines(spark, path).select(F.split("value", "\t").alias("f")).where(F.size("f") >= 3)
-    genes = F.array_distinct(F.filter(F.transform(F.slice("f", 3, 1_000_000), lambda g: F.trim(g)), lambda g: g != ""))
+    genes = F.array_distinct(F.filter(F.transform(F.slice("f", F.lit(3), F.size("f") - 2), lambda g: F.trim(g)), lambda g: g != ""))
     sets = parts.select(F.trim(F.col("f")[0]).alias("set_id"), F.trim(F.col("f")[1]).alias("description"), genes.alias("genes"))
     one = sets.groupBy("set_id").agg(F.min(F.struct("description", "genes")).alias("s")).select("set_id", "s.*")
     return one.withColumn("n_genes", F.size("genes")).where(F.col("n_genes").between(least, most))

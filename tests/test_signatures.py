@@ -1,12 +1,12 @@
 import pytest
 
-from lociflow.plans.signatures import s_label_pivot_whole
+from lociflow.plans.signatures import s_label_pivot
 
 
 def test_pivot_has_all_items(spark, tmp_path):
     rows = [(i, "ab"[i % 2], [float(i * k) for k in range(64)]) for i in range(6)]
     spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
-    got = {r.label: r for r in s_label_pivot_whole(spark, str(tmp_path)).collect()}
+    got = {r.label: r for r in s_label_pivot(spark, str(tmp_path)).collect()}
     assert set(got) == {"a", "b"}
     for k in range(64):
         assert (got["a"][f"item_{k}"], got["b"][f"item_{k}"]) == (pytest.approx(2 * k), pytest.approx(3 * k))
