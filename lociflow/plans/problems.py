@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociflow.operators.units import harmonise_units, milli
 from lociflow.session import table
-from lociflow.sources.schema_drift import layout_versions, migrations, unify
+from lociflow.sources.schema_drift import layout_versions, migration_steps, migrations, unify
 from lociflow.sources.summary_lines import load_or_reject
 
 
@@ -45,11 +45,16 @@ def p6_versions(spark: SparkSession, d: str) -> DataFrame:
     return layout_versions(table(spark, d, "gwas_files"), table(spark, d, "gwas_lines"), table(spark, d, "column_aliases"))
 
 
+def p6_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The rename, default and cast steps of every version of every stream."""
+    return migration_steps(table(spark, d, "gwas_files"), table(spark, d, "gwas_lines"), table(spark, d, "column_aliases"))
+
+
 def p6_table(spark: SparkSession, d: str) -> DataFrame:
     """All files as one table with the canonical columns."""
     out = unify(table(spark, d, "gwas_files"), table(spark, d, "gwas_lines"), table(spark, d, "column_aliases"))
     return out.withColumn("extra", F.to_json("extra"))
 
 
-QUERIES = {q.__name__: q for q in (p2_found, p2_values, p4_found, p4_rows, p6_found, p6_versions, p6_table)}
+QUERIES = {q.__name__: q for q in (p2_found, p2_values, p4_found, p4_rows, p6_found, p6_versions, p6_steps, p6_table)}
 SQL: dict[str, str] = {}

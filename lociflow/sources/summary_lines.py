@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.operators.skew import salted_join
+from lociflow.session import written
 
 BOM = "﻿"
 #: Delimiters tried on a header, in order of preference when equally frequent; else white space.
@@ -40,14 +41,18 @@ def with_headers(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(data lines with their file's ``header``, one header row a file).
 
     ``lines`` has line_id, file_id, line_no and line. The header is the first line of a file that
-    is neither blank nor a comment (ties in line_no: the smaller line_id); it is found by a
-    pre-aggregated minimum, and joined back with salts, as one file may hold most lines.
-    A file of comments only yields neither header nor data.
+    is neither blank nor a comment (ties in line_no: the smaller line_id). The lines are cleaned
+    once and written; the first of a file is found by a pre-aggregated minimum of its numbers, not
+    its text, and its header joined back with salts, as one file may hold most lines. A file of
+    comments only yields neither header nor data.
     """
-    content = lines.withColumn("text", clean_line(F.col("line"))).where(~is_blank(F.col("text")) & ~is_comment(F.col("text")))
-    headers = content.groupBy("file_id").agg(F.min(F.struct("line_no", "line_id", "text")).alias("h")).select("file_id", F.col("h.line_id").alias("header_line"), F.col("h.text").alias("header"))
-    data = salted_join(content.select("file_id", "line_id", "line_no", "text"), headers, "file_id", F.col("line_id"))
-    return data.where(F.col("line_id") != F.col("header_line")).drop("header_line"), headers
+    cleaned = lines.select("file_id", "line_id", "line_no", clean_line(F.col("line")).alias("text"))
+    content = written(cleaned.where(~is_blank(F.col("text")) & ~is_comment(F.col("text"))))
+    firsts = content.groupBy("file_id").agg(F.min(F.struct("line_no", "line_id")).alias("h")).select("file_id", F.col("h.line_id").alias("line_id"))
+    headers = written(content.select("file_id", "line_id", F.col("text").alias("header")).join(firsts, ["file_id", "line_id"]).dropDuplicates(["file_id"]))
+    one = headers.select("file_id", F.col("line_id").alias("header_line"), "header")
+    data = salted_join(content, one, "file_id", F.col("line_id"))
+    return data.where(F.col("line_id") != F.col("header_line")).drop("header_line"), headers.drop("line_id")
 
 
 @lru_cache(maxsize=4096)

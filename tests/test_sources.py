@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from lociflow.operators.units import harmonise_units, milli
 from lociflow.sources.genomic_text import covariance_triplets, gene_locations, gene_sets, id_pairs, json_list_csv, latest_ids, quadratic_scores, white_space_table
-from lociflow.sources.schema_drift import layout_versions, migrations, unify
+from lociflow.sources.schema_drift import layout_versions, migration_steps, migrations, unify
 from lociflow.sources.summary_lines import load_or_reject
 
 ALIASES = [("CHR", "CHROM"), ("P", "PVAL"), ("BETA", "EFFECT"), ("SNP", "RSID")]
@@ -49,6 +49,12 @@ def test_drift(spark):
     table = unify(files, lines, aliases)
     assert table.count() == 5 and {"SNP", "CHR", "P", "BETA"} <= set(table.columns)
     assert migrations(files.where("false"), lines, aliases).count() == 0
+    rows = {(r.file_id, r.CHR, r.P, r.version) for r in table.collect()}
+    assert rows == {(0, 1, 0.5, 1), (0, 2, None, 1), (1, 1, 0.5, 2), (1, 1, 0.1, 2), (2, None, 1.0, 3)}
+    steps = {(r.version, r.action, r.field): (r.source, r.target) for r in migration_steps(files, lines, aliases).collect()}
+    assert steps[2, "rename", "CHR"] == ("CHROM", "CHR") and steps[2, "default", "N"] == (None, "null") and steps[1, "cast", "BETA"] == ("float", "double")
+    assert (1, "rename", "CHR") not in steps and unify(files.where("false"), lines, aliases).where("version is null and stream is null").count() == 5
+    assert unify(files, lines.where("false"), aliases).count() == 0
 
 
 def test_units(spark):
