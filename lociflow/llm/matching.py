@@ -169,26 +169,37 @@ def rules(model: MatchModel) -> list[tuple[str, str, str, Column, tuple[str, ...
     ]
 
 
+def _near(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs within two edits whose masses may agree. Only ids and names meet; the rest joins what remains.
+
+    A third of the name and the mass together are rare, so few pairs meet that the edits then drop.
+    """
+    mine = F.array(F.col("c_mw"), *[F.when(F.col("c_salted"), F.col("c_mw") - extra) for extra in SALT_MASSES])
+    buckets = F.array_distinct(F.transform(F.array_compact(mine), lambda m: F.floor(m / BUCKET)))
+    named = left.where(~F.col("c_coded") & F.col("c_skel").isNotNull() & F.col("c_mw").isNotNull())
+    wide = named.select("compound_id", "c_skel", near_segments(F.col("c_skel")).alias("v"), F.explode(buckets).alias("bucket"))
+    wide = wide.select("compound_id", "c_skel", "bucket", F.explode("v").alias("v"))
+    slack = F.greatest(F.lit(0.55), F.col("d_mw") * 0.002 + 0.03)
+    known = right.where("d_skel is not null and d_mw is not null")
+    known = known.select("drug_id", "d_skel", drug_segments(F.col("d_skel")).alias("v"), F.explode(mass_buckets(F.col("d_mw"), slack)).alias("bucket"))
+    known = known.select("drug_id", "d_skel", "bucket", F.explode("v").alias("v"))
+    key = F.xxhash64("bucket", "v").alias("k")
+    met = salted_join(wide.select("compound_id", "c_skel", key), known.select("drug_id", "d_skel", key), "k", F.col("compound_id"), salts=4)
+    pairs = met.where(F.levenshtein("c_skel", "d_skel", 2) >= 0).select("compound_id", "drug_id").distinct()
+    return salted_join(pairs.join(left, "compound_id"), right, "drug_id", F.col("compound_id"), salts=4)
+
+
 def _candidates(drugs: DataFrame, compounds: DataFrame, drug_key: str, compound_key: str) -> DataFrame:
     left = compounds.select(*[F.col(c).alias(f"c_{c}" if c != "compound_id" else c) for c in compounds.columns])
     right = drugs.select(*[F.col(c).alias(f"d_{c}" if c != "drug_id" else c) for c in drugs.columns])
     if drug_key == "near":
-        # a third of the name and the mass together are rare, so few pairs meet that the rule then drops
-        mine = F.array(F.col("c_mw"), *[F.when(F.col("c_salted"), F.col("c_mw") - extra) for extra in SALT_MASSES])
-        named = left.where(~F.col("c_coded") & F.col("c_skel").isNotNull() & F.col("c_mw").isNotNull())
-        buckets = F.array_distinct(F.transform(F.array_compact(mine), lambda m: F.floor(m / BUCKET)))
-        wide = named.withColumn("bucket", F.explode(buckets)).withColumn("v", F.explode(near_segments(F.col("c_skel"))))
-        slack = F.greatest(F.lit(0.55), F.col("d_mw") * 0.002 + 0.03)
-        known = right.where("d_skel is not null and d_mw is not null").withColumn("bucket", F.explode(mass_buckets(F.col("d_mw"), slack)))
-        known = known.withColumn("v", F.explode(drug_segments(F.col("d_skel"))))
-        met = salted_join(wide, known, ["bucket", "v"], F.col("compound_id"), salts=4).drop("bucket", "v")
-        return met.where(F.levenshtein("c_skel", "d_skel", 2) >= 0)
+        return _near(left, right)
     if drug_key == "synonym":
         right = right.withColumn("k", F.explode(F.transform("d_synonyms", lambda s: F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}]", ""))))
     else:
         right = right.withColumn("k", F.col(f"d_{drug_key}"))
     left = left.withColumn("k", F.col(f"c_{compound_key}")).where(F.col("k").isNotNull())
-    return salted_join(left, right.where(F.col("k").isNotNull() & (F.col("k") != "")), "k", F.col("compound_id"), salts=8).drop("k")
+    return salted_join(left, right.where(F.col("k").isNotNull() & (F.col("k") != "")), "k", F.col("compound_id"), salts=4).drop("k")
 
 
 def signs() -> dict[str, Column]:
