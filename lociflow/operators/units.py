@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociflow.session import written
+
 #: Texts that stand for an unreported value.
 UNREPORTED = ("", "-", "NA", "N/A", "NR", "NAN", "NULL", "NONE", ".", "NOT REPORTED")
 EFFECT_UNITS = ("ln", "ln_milli", "log2", "log10", "odds_ratio", "percent_change")
@@ -143,6 +145,7 @@ def harmonise_units(hits: DataFrame, studies: DataFrame, tie: float = 0.2) -> Da
     rows = rows.join(about, "study_id", "left")
     study_unit = F.when(F.col("has_or"), "odds_ratio").when(~F.col("has_or"), "ln")
     rows = rows.withColumn("b_known", F.coalesce("b_text", "b_note", study_unit)).withColumn("stated", F.coalesce("b_known", F.lit("")))
+    rows = written(rows)  # both branches below read what was matched once
     inferred = inferred_units(rows.where("b_told").select("study_id", "stated", F.col("b_number").alias("number"), "se", "p"), tie)
     rows = rows.join(inferred, ["study_id", "stated"], "left")
     unit = F.coalesce("b_known", "identity_unit")

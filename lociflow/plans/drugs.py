@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociflow.functions.identifiers import atc_level, plain_name, pubchem_cid
+from lociflow.functions.identifiers import atc_level, json_or_text_list, plain_name, pubchem_cid
 from lociflow.functions.stats import normal_two_sided
 from lociflow.operators.enrichment import class_regression, permutation_test
 from lociflow.operators.merging import class_members, identical_sets, item_sets, list_counts, membership_patterns, ordered_unions, richest_record, source_names, tiered_match
 from lociflow.operators.ranks import average_ranks, rank_sum_test, running_counts, with_fdr
 from lociflow.operators.skew import salted_join
 from lociflow.plans.tails import normal_upper_sql
-from lociflow.session import table
+from lociflow.session import shared_path, table
+from lociflow.sources.genomic_text import gene_sets, json_list_csv
 
 #: Least number of drugs in a class and genes in a set.
 LEAST_DRUGS, LEAST_GENES = 5, 3
+#: Most genes of a set that is read from a file.
+MOST_GENES = 500
 ATC_LENGTHS = (1, 3, 4, 5)
 #: Sources of which two together make a pair's confidence high.
 MAIN_SOURCES = ("chembl", "pdsp", "dgidb")
@@ -66,6 +69,22 @@ def d_gene_sets(spark: SparkSession, d: str) -> DataFrame:
     return item_sets(records(spark, d), "drug", "gene", LEAST_GENES).select("drug", "n_items", F.array_join("items", ",").alias("genes"))
 
 
+def d_set_file(spark: SparkSession, d: str) -> DataFrame:
+    """The drugs' gene sets written as a gene-set file and read again, within the size limits."""
+    path = shared_path(spark, "texts")
+    sets = item_sets(records(spark, d), "drug", "gene", 1)
+    sets.select(F.concat_ws("\t", "drug", F.lit("drug"), F.array_join("items", "\t")).alias("value")).write.text(path)
+    return gene_sets(spark, path, LEAST_GENES, MOST_GENES).select(F.col("set_id").alias("drug"), F.col("n_genes").cast("long").alias("n_items"), F.array_join(F.array_sort("genes"), ",").alias("genes"))
+
+
+def d_list_file(spark: SparkSession, d: str) -> DataFrame:
+    """The drugs' gene sets written as CSV with lists as JSON and read again."""
+    path = shared_path(spark, "texts")
+    json_list_csv(item_sets(records(spark, d), "drug", "gene", LEAST_GENES), path)
+    back = spark.read.schema("drug string, n_items long, items string").option("header", True).option("escape", '"').csv(path)
+    return back.select("drug", "n_items", F.array_join(json_or_text_list(F.col("items")), ",").alias("genes"))
+
+
 def d_identical_sets(spark: SparkSession, d: str) -> DataFrame:
     """Drugs with the very same genes, as one representative: most potent on average, then by id."""
     r = records(spark, d)
@@ -238,7 +257,7 @@ def d_phase_pivot(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     q.__name__: q
     for q in (
-        d_merged, d_best_affinity, d_mechanism_affinity, d_gene_sets, d_identical_sets, d_rollup, d_classes, d_class_pairs, d_rank_sum, d_gene_ranks,
+        d_merged, d_best_affinity, d_mechanism_affinity, d_gene_sets, d_set_file, d_list_file, d_identical_sets, d_rollup, d_classes, d_class_pairs, d_rank_sum, d_gene_ranks,
         d_permutation, d_class_rank_sum, d_class_permutation, d_class_regression, d_masked_fdr, d_gene_drug_ranks, d_types, d_least_affinity,
         d_three_pass, d_synonyms, d_directions, d_overlap, d_counts, d_missing_pairs, d_phase_pivot,
     )
@@ -293,6 +312,8 @@ SQL = {
         a AS (SELECT drug, gene, count(*) AS n_affinity, max(potency) AS potency, max(max_phase) AS pa FROM r WHERE potency IS NOT NULL GROUP BY drug, gene)
         SELECT drug, gene, n_mechanism, n_affinity, round(potency, 6) AS potency, coalesce(pm, pa) AS phase, n_mechanism IS NOT NULL AS from_mechanism FROM m FULL JOIN a USING (drug, gene)""",
     "d_gene_sets": f"WITH {_R}, x AS (SELECT DISTINCT drug, gene FROM r) SELECT drug, count(*) AS n_items, string_agg(gene, ',' ORDER BY gene) AS genes FROM x GROUP BY drug HAVING count(*) >= {LEAST_GENES}",
+    "d_set_file": f"WITH {_R}, x AS (SELECT DISTINCT drug, gene FROM r) SELECT drug, count(*) AS n_items, string_agg(gene, ',' ORDER BY gene) AS genes FROM x GROUP BY drug HAVING count(*) BETWEEN {LEAST_GENES} AND {MOST_GENES}",
+    "d_list_file": f"WITH {_R}, x AS (SELECT DISTINCT drug, gene FROM r) SELECT drug, count(*) AS n_items, string_agg(gene, ',' ORDER BY gene) AS genes FROM x GROUP BY drug HAVING count(*) >= {LEAST_GENES}",
     "d_identical_sets": f"""WITH {_R}, x AS (SELECT DISTINCT drug, gene FROM r), s AS (SELECT drug, count(*) AS n_items, string_agg(gene, '|' ORDER BY gene) AS genes FROM x GROUP BY drug),
         m AS (SELECT drug, round(avg(potency), 6) AS mean FROM r GROUP BY drug),
         k AS (SELECT *, count(*) OVER (PARTITION BY genes) AS n_members, row_number() OVER (PARTITION BY genes ORDER BY coalesce(-mean, 0.0), drug) AS i FROM s JOIN m USING (drug))

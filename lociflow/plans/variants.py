@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociflow.functions.alleles import clean_allele, complement, is_palindromic, minor_frequency
@@ -12,7 +12,9 @@ from lociflow.operators.components import connected_components
 from lociflow.operators.merging import keep_first
 from lociflow.operators.ranges import collapse_loci, range_join
 from lociflow.operators.ranks import benjamini_hochberg, order_statistics, running_counts, value_counts
-from lociflow.session import table
+from lociflow.operators.skew import salted_join
+from lociflow.session import shared_path, table
+from lociflow.sources.genomic_text import allele_frequencies, bim_variants
 
 #: The extended major histocompatibility region on chromosome 6, GRCh37.
 MHC_START, MHC_END = 25_000_000, 34_000_000
@@ -155,6 +157,62 @@ def v_loci(spark: SparkSession, d: str) -> DataFrame:
     return collapse_loci(hits, "study_id", "chr", "pos", "p", 500_000, "variant_id")
 
 
+def v_loci_mhc(spark: SparkSession, d: str) -> DataFrame:
+    """Loci, and whether the span from their first to their leading position overlaps the histocompatibility region."""
+    loci = v_loci(spark, d)
+    lo, hi = F.least("locus_start", "lead_position"), F.greatest("locus_start", "lead_position")
+    inside = F.coalesce((F.col("chr") == 6) & (lo <= MHC_END) & (hi >= MHC_START), F.lit(False))
+    return loci.select("study_id", "chr", "locus_start", "lead_position", inside.alias("in_mhc"))
+
+
+def v_top_hits(spark: SparkSession, d: str) -> DataFrame:
+    """The ten smallest p values of every study (ties: the smallest row_id); each task keeps ten a study before the shuffle."""
+    valid = table(spark, d, "gwas_variants").where("p > 0 and p <= 1").select("study_id", "row_id", "p")
+    order = Window.partitionBy("study_id").orderBy("p", "row_id")
+    return valid.withColumn("place", F.row_number().over(order)).where("place <= 10")
+
+
+def v_places(spark: SparkSession, d: str) -> DataFrame:
+    """Place of every distinct position on its chromosome, from 0, from one distributed sort."""
+    spots = table(spark, d, "gwas_variants").where("chr is not null and pos is not null").select("chr", "pos").distinct()
+    return running_counts(spots.withColumn("n", F.lit(1).cast("long")), ["chr"], "pos").select("chr", "pos", F.col("below").alias("place"), F.col("total").alias("n_positions"))
+
+
+def v_study_best(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose p equals the smallest of their study and chromosome."""
+    rows = table(spark, d, "gwas_variants").where("p > 0 and p <= 1 and chr is not null").select("row_id", "study_id", "chr", "p")
+    least = rows.groupBy("study_id", "chr").agg(F.min("p").alias("least"))
+    return salted_join(rows, least, ["study_id", "chr"], F.col("row_id"), salts=8).where("p = least").select("row_id", "study_id", "chr", "p")
+
+
+def panel(spark: SparkSession, d: str) -> DataFrame:
+    """One named variant a place, of all studies: the reference panel that the tables give."""
+    rows = canonical(spark, d).where("snp is not null and chr is not null and pos is not null and a1 is not null and a2 is not null")
+    return keep_first(rows.select("chr", "pos", "snp", "a1", "a2", "maf", "row_id"), ["chr", "pos"], [F.col("row_id")])
+
+
+def v_panel_file(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose variant is in the panel, by chromosome, where the panel is written as a panel file and read again."""
+    path = shared_path(spark, "texts")
+    fields = [F.concat(F.lit("chr"), F.col("chr")), F.col("snp"), F.lit("0"), F.col("pos"), F.lower("a1"), F.col("a2")]
+    panel(spark, d).select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+    known = bim_variants(spark, path).select(F.col("chr").cast("int").alias("chr"), "snp").distinct()
+    rows = canonical(spark, d).where("snp is not null").select("row_id", "study_id", "chr", "snp")
+    return salted_join(rows, known, ["chr", "snp"], F.col("row_id"), "left_semi", salts=4).groupBy("study_id", "chr").agg(F.count("*").alias("n_in_panel"))
+
+
+def v_minor_frequency(spark: SparkSession, d: str) -> DataFrame:
+    """Minor allele frequency of every named row: its own, else the panel's frequency file's; and where it is from."""
+    path = shared_path(spark, "texts")
+    lines = panel(spark, d).where("maf is not null").select(F.concat_ws("  ", "chr", "snp", "a1", "a2", F.col("maf").cast("string"), F.lit("100")).alias("value"))
+    spark.range(1).select(F.lit(" CHR  SNP  A1  A2  MAF  NCHROBS").alias("value")).unionByName(lines).write.text(path)
+    reference = allele_frequencies(spark, path).select("snp", F.col("maf").alias("panel_maf"))
+    rows = canonical(spark, d).where("snp is not null").select("row_id", "snp", minor_frequency(F.col("maf")).alias("own"))
+    both = salted_join(rows, reference, "snp", F.col("row_id"), "left", salts=4).withColumn("theirs", minor_frequency(F.col("panel_maf")))
+    source = F.when(F.col("own").isNotNull(), "own").when(F.col("theirs").isNotNull(), "panel").otherwise("none")
+    return both.select("row_id", F.round(F.coalesce("own", "theirs"), 6).alias("maf"), source.alias("maf_from"))
+
+
 def v_best_per_region(spark: SparkSession, d: str) -> DataFrame:
     """The row with the smallest p of each study, chromosome and megabase (ties: the smallest row_id)."""
     return region_leads(canonical(spark, d)).select("study_id", "chr", "mb", "row_id", "p")
@@ -169,7 +227,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs,
-        v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_best_per_region,
+        v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_loci_mhc, v_top_hits, v_places, v_study_best, v_panel_file, v_minor_frequency, v_best_per_region,
     )
 }
 
@@ -187,6 +245,8 @@ _LEADS = f"""{CANONICAL_SQL},
     leads AS (
       SELECT *, CAST(floor(pos / 1000000) AS BIGINT) AS mb FROM c WHERE p > 0 AND p <= 1 AND se > 0 AND beta IS NOT NULL
       QUALIFY row_number() OVER (PARTITION BY study_id, chr, CAST(floor(pos / 1000000) AS BIGINT) ORDER BY p, row_id) = 1)"""
+_PANEL = f"""{CANONICAL_SQL},
+    panel AS (SELECT * FROM c WHERE snp IS NOT NULL AND chr IS NOT NULL AND pos IS NOT NULL AND a1 IS NOT NULL AND a2 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY chr, pos ORDER BY row_id) = 1)"""
 _VALID = "p IS NOT NULL AND NOT isnan(p) AND p >= 0 AND p <= 1"
 
 
@@ -237,6 +297,13 @@ SQL = {
     "v_linked_leads": f"""WITH {CANONICAL_SQL}, h AS (SELECT row_id, chr, pos, CAST(coalesce(pos - lag(pos) OVER (PARTITION BY chr ORDER BY pos, row_id) > 500000, true) AS INT) AS new FROM c WHERE p < {GENOME_WIDE}),
         i AS (SELECT *, sum(new) OVER (PARTITION BY chr ORDER BY pos, row_id) AS island FROM h) SELECT row_id, min(row_id) OVER (PARTITION BY chr, island) AS component FROM i""",
     "v_best_per_region": f"WITH {_LEADS} SELECT study_id, chr, mb, row_id, p FROM leads",
+    "v_top_hits": f"SELECT study_id, row_id, p, row_number() OVER (PARTITION BY study_id ORDER BY p, row_id) AS place FROM gwas_variants WHERE {_VALID} AND p > 0 QUALIFY place <= 10",
+    "v_places": "SELECT chr, pos, row_number() OVER (PARTITION BY chr ORDER BY pos) - 1 AS place, count(*) OVER (PARTITION BY chr) AS n_positions FROM (SELECT DISTINCT chr, pos FROM gwas_variants WHERE chr IS NOT NULL AND pos IS NOT NULL)",
+    "v_study_best": f"SELECT row_id, study_id, chr, p FROM gwas_variants WHERE {_VALID} AND p > 0 AND chr IS NOT NULL QUALIFY p = min(p) OVER (PARTITION BY study_id, chr)",
+    "v_panel_file": f"""WITH {_PANEL} SELECT study_id, chr, count(*) AS n_in_panel FROM c WHERE EXISTS (SELECT 1 FROM panel WHERE panel.chr = c.chr AND panel.snp = c.snp) GROUP BY study_id, chr""",
+    "v_minor_frequency": f"""WITH {_PANEL}, f AS (SELECT snp, maf FROM panel WHERE maf > 0 AND maf < 1 QUALIFY row_number() OVER (PARTITION BY snp ORDER BY a1, a2, maf) = 1),
+        r AS (SELECT row_id, CASE WHEN c.maf > 0 AND c.maf < 1 THEN least(c.maf, 1 - c.maf) END AS own, least(f.maf, 1 - f.maf) AS theirs FROM c LEFT JOIN f USING (snp) WHERE snp IS NOT NULL)
+        SELECT row_id, round(coalesce(own, theirs), 6) AS maf, CASE WHEN own IS NOT NULL THEN 'own' WHEN theirs IS NOT NULL THEN 'panel' ELSE 'none' END AS maf_from FROM r""",
     # hits are opened one after the other: a hit further than the window from the present locus' best opens a locus, a better one leads it
     "v_loci": f"""WITH RECURSIVE {CANONICAL_SQL},
         h AS (SELECT study_id, chr, pos, min(struct_pack(p := p, name := variant_id)) AS m FROM c WHERE p < {GENOME_WIDE} AND pos IS NOT NULL GROUP BY study_id, chr, pos),
@@ -250,3 +317,5 @@ SQL = {
         SELECT study_id, chr, locus_start, lead_position, lead_p, lead_label, CAST(n AS BIGINT) AS n_positions FROM w
         QUALIFY row_number() OVER (PARTITION BY study_id, chr, locus_start ORDER BY n DESC) = 1""",
 }
+SQL["v_loci_mhc"] = f"""SELECT study_id, chr, locus_start, lead_position, coalesce(chr = 6 AND least(locus_start, lead_position) <= {MHC_END} AND greatest(locus_start, lead_position) >= {MHC_START}, false) AS in_mhc
+    FROM ({SQL["v_loci"]}) loci"""

@@ -51,14 +51,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{kind}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared checkpoint folder and read again.
 
     Like ``cut``, for loops: what is read again carries no constraints of the plan before it, which
     a checkpointed frame keeps and which would double every round.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/tables/{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, "tables")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

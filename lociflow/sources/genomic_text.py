@@ -26,6 +26,23 @@ def white_space_table(spark: SparkSession, path: str, columns: dict[str, str], c
     return rows.select(*[F.col("f")[names.index(c)].try_cast(kind).alias(c) for c, kind in columns.items()])
 
 
+def bim_variants(spark: SparkSession, path: str) -> DataFrame:
+    """(chr, snp, pos, a1, a2) of a headerless panel file of six columns; chromosomes without chr, alleles in upper case.
+
+    Lines with another number of fields or without a whole position are left out.
+    """
+    f = text_lines(spark, path).select(F.split(F.trim("value"), r"\s+").alias("f")).where(F.size("f") == 6)
+    chromosome = F.regexp_replace(F.upper(F.col("f")[0]), "^CHR", "")
+    rows = f.select(chromosome.alias("chr"), F.col("f")[1].alias("snp"), F.col("f")[3].try_cast("long").alias("pos"), F.upper(F.col("f")[4]).alias("a1"), F.upper(F.col("f")[5]).alias("a2"))
+    return rows.where("pos is not null")
+
+
+def allele_frequencies(spark: SparkSession, path: str) -> DataFrame:
+    """(snp, a1, a2, maf) of a white-space frequency file CHR SNP A1 A2 MAF NCHROBS, one row a variant; 0, 1 and NA are no frequencies."""
+    f = white_space_table(spark, path, {"SNP": "string", "A1": "string", "A2": "string", "MAF": "double"}).where("MAF > 0 and MAF < 1")
+    return f.groupBy(F.col("SNP").alias("snp")).agg(F.min(F.struct(F.col("A1").alias("a1"), F.col("A2").alias("a2"), F.col("MAF").alias("maf"))).alias("v")).select("snp", "v.*")
+
+
 def gene_sets(spark: SparkSession, path: str, least: int = 1, most: int = 2**31 - 1) -> DataFrame:
     """(set_id, description, genes, n_genes) of a GMT file: distinct non-empty genes, sets within the size limits.
 
