@@ -69,6 +69,31 @@ def id_pairs(spark: SparkSession, path: str, order: Column | None = None) -> Dat
     return pairs.groupBy("key").agg(F.min_by("value", order if order is not None else F.col("value")).alias("value"))
 
 
+def gene_info(spark: SparkSession, path: str, taxon: str) -> DataFrame:
+    """(entrez, symbol, ensembl) of a tab file of genes: taxon, Entrez id, symbol, two unread fields, cross references split by '|'.
+
+    Other taxa, short lines and ids that are no whole numbers are left out; '-' is no symbol. Of several
+    Ensembl references of a line the first counts, of several lines of a gene the smallest value.
+    """
+    f = text_lines(spark, path).select(F.split("value", "\t").alias("f")).where(F.size("f") >= 6)
+    human = f.where(F.col("f")[0] == taxon)
+    references = F.filter(F.split(F.col("f")[5], r"\|"), lambda x: x.startswith("Ensembl:"))
+    ensembl = F.regexp_replace(F.try_element_at(references, F.lit(1)), "^Ensembl:", "")
+    symbol = F.nullif(F.nullif(F.col("f")[2], F.lit("-")), F.lit(""))
+    genes = human.select(F.col("f")[1].try_cast("long").alias("entrez"), symbol.alias("symbol"), ensembl.alias("ensembl"))
+    return genes.where("entrez is not null").groupBy("entrez").agg(F.min("symbol").alias("symbol"), F.min("ensembl").alias("ensembl"))
+
+
+def gene_history(spark: SparkSession, path: str, taxon: str) -> DataFrame:
+    """(old, new) Entrez ids of a tab file taxon, replacement, discontinued id; ids without a replacement ('-') are left out.
+
+    An id replaced several times keeps the largest replacement. ``latest_ids`` follows the chains.
+    """
+    f = text_lines(spark, path).select(F.split("value", "\t").alias("f")).where(F.size("f") >= 3)
+    pairs = f.where(F.col("f")[0] == taxon).select(F.col("f")[2].try_cast("long").alias("old"), F.col("f")[1].try_cast("long").alias("new"))
+    return pairs.where("old is not null and new is not null").groupBy("old").agg(F.max("new").alias("new"))
+
+
 def latest_ids(history: DataFrame, hops: int = 10) -> DataFrame:
     """(old, current, hops) by following (old, new) replacements at most ``hops`` times; cycles stop where they close.
 
