@@ -1,8 +1,8 @@
 """Registered queries with their equivalent SQL."""
 
-from lociflow.plans import causal, drugs, genes, problems, signatures, variants
+from lociflow.plans import causal, compounds, drugs, genes, problems, signatures, variants
 
-_MODULES = (problems, variants, causal, drugs, genes, signatures)
+_MODULES = (problems, variants, causal, drugs, compounds, genes, signatures)
 
 #: name -> query(spark, folder of the tables)
 REGISTRY = {name: query for module in _MODULES for name, query in module.QUERIES.items()}

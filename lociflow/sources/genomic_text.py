@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociflow.functions.identifiers import chembl_id, text_list
+
 
 def text_lines(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
     """(value) of the lines that are neither blank nor comments; gzip by suffix."""
@@ -94,6 +96,21 @@ def gene_history(spark: SparkSession, path: str, taxon: str) -> DataFrame:
     return pairs.where("old is not null and new is not null").groupBy("old").agg(F.max("new").alias("new"))
 
 
+def interaction_claims(spark: SparkSession, path: str) -> DataFrame:
+    """(claim_id, drug_name, drug_chembl_id, gene_symbol, interaction_type, pmids, confidence) of a tab file of claims with a header.
+
+    Claims with a null or blank drug or gene are left out. The drug id is the one ChEMBL id in
+    drug_concept_id, else null; pmids are split at commas; confidence is medium with any, else low.
+    """
+    raw = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    pmids = text_list(F.col("pmids"), ",")
+    read = raw.select(
+        "claim_id", F.trim("drug_name").alias("drug_name"), chembl_id(F.col("drug_concept_id")).alias("drug_chembl_id"), F.trim("gene_name").alias("gene_symbol"),
+        "interaction_type", pmids.alias("pmids"), F.when(pmids.isNotNull(), "medium").otherwise("low").alias("confidence"),
+    )
+    return read.where("drug_name <> '' and gene_symbol <> ''")
+
+
 def latest_ids(history: DataFrame, hops: int = 10) -> DataFrame:
     """(old, current, hops) by following (old, new) replacements at most ``hops`` times; cycles stop where they close.
 
