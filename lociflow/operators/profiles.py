@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lociflow.operators.ranks import order_statistics
+from lociflow.operators.ranks import order_statistics, running_counts
+from lociflow.operators.skew import salted_join
+from lociflow.session import cut
+
+#: Permutations that one row (and so one task) draws.
+BLOCK_DRAWS = 500
 
 
 def long_form(rows: DataFrame, keys: list[str], vector: str) -> DataFrame:
@@ -56,6 +66,45 @@ def extreme_sum(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return left.join(strong, "item").groupBy(left_key, right_key).agg(F.sum(F.col("value") * F.col("__s")).alias("xsum"))
 
 
+def extreme_sum_p(left: DataFrame, right: DataFrame, left_key: str, right_key: str, top: int, draws: int = 1_000, seed: int = 42) -> DataFrame:
+    """(left_key, right_key, xsum, p): extreme sums and how often the left profile, shuffled, gives one as small.
+
+    p = (hits + 1) / (draws + 1). Shuffling only changes which values meet the ups and which the downs,
+    so a left profile and a number of each share one null distribution, drawn in seeded blocks. Draws and
+    observed sums are sorted together, once, to count the draws at or below every sum. Sums are
+    compared to nine digits. Right profiles of fewer than ``top`` items have no row.
+    """
+    order = Window.partitionBy(right_key).orderBy(F.abs(F.col("value")).desc(), "item")
+    strong = right.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= top).select(right_key, "item", F.signum("value").alias("__s"))
+    up, down = F.count_if(F.col("__s") > 0).alias("up"), F.count_if(F.col("__s") < 0).alias("down")
+    met = left.join(strong, "item").groupBy(left_key, right_key)
+    sums = cut(met.agg(F.round(F.sum(F.col("value") * F.col("__s")), 9).alias("xsum"), up, down, F.count("*").alias("__n")).where(F.col("__n") == top).drop("__n"))
+    values = left.groupBy(left_key).agg(F.array_sort(F.collect_list(F.struct("item", "value"))).alias("all")).select(left_key, F.transform("all", lambda x: x["value"]).alias("values"))
+    blocks = sums.select(left_key, "up", "down").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((draws - 1) // BLOCK_DRAWS))))
+    spark = left.sparkSession
+    # a number of partitions is given, else these few small rows would end up in one task
+    tasks = blocks.join(values, left_key).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), left_key, "up", "down", "block")
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, up_, down_, block, profile in batch.itertuples(index=False, name=None):
+                rng = np.random.default_rng([seed, zlib.crc32(str(key).encode()), int(up_), int(down_), int(block)])
+                size = min(BLOCK_DRAWS, draws - block * BLOCK_DRAWS)
+                shuffled = rng.permuted(np.tile(np.asarray(profile, float), (size, 1)), axis=1)
+                null = shuffled[:, :up_].sum(axis=1) - shuffled[:, up_ : up_ + down_].sum(axis=1)
+                yield pd.DataFrame({"key": key, "up": up_, "down": down_, "xsum": null})
+
+    kind = left.schema[left_key].dataType.simpleString()
+    nulls = tasks.select(left_key, "up", "down", "block", "values").mapInPandas(draw, f"key {kind}, up long, down long, xsum double")
+    drawn = nulls.select(F.col("key").alias(left_key), "up", "down", F.round("xsum", 9).alias("xsum"), F.lit(1).alias("n"))
+    both = drawn.unionByName(sums.select(left_key, "up", "down", "xsum", F.lit(0).alias("n")))
+    keys = [left_key, "up", "down"]
+    placed = running_counts(both.groupBy(*keys, "xsum").agg(F.sum("n").alias("n")), keys, "xsum")
+    hits = placed.select(*keys, "xsum", (F.col("below") + F.col("n")).alias("hits"))
+    tested = salted_join(sums, hits, [*keys, "xsum"], F.col(right_key), salts=4)
+    return tested.select(left_key, right_key, "xsum", ((F.col("hits") + 1) / (draws + 1)).alias("p"))
+
+
 def reversal_summary(pairs: DataFrame, left_key: str, right_key: str, strong: float) -> DataFrame:
     """(right_key, best, rho, n_left, n_strong, n_reversing): the left profile each right one reverses most."""
     return pairs.groupBy(right_key).agg(F.min(F.struct("rho", left_key)).alias("m"), F.count("*").alias("n_left"), F.count_if(F.abs("rho") >= strong).alias("n_strong"), F.count_if(F.col("rho") < 0).alias("n_reversing")).select(

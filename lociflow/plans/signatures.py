@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociflow.functions.stats import t_two_sided
 from lociflow.operators.estimators import weighted_lower_median
-from lociflow.operators.profiles import consensus, directional_p, extreme_sum, long_form, reversal_summary, spearman, top_contributors
+from lociflow.operators.profiles import consensus, directional_p, extreme_sum, extreme_sum_p, long_form, reversal_summary, spearman, top_contributors
 from lociflow.plans.tails import t_two_sided_sql
 from lociflow.session import table
 
@@ -53,6 +53,12 @@ def s_extreme_sum(spark: SparkSession, d: str) -> DataFrame:
     return x.select("label", "vec_id", F.round("xsum", 5).alias("xsum"))
 
 
+def s_extreme_p(spark: SparkSession, d: str) -> DataFrame:
+    """The same sums with their permutation p."""
+    x = extreme_sum_p(conditions(spark, d), profiles(spark, d).select("vec_id", "item", "value"), "label", "vec_id", 10)
+    return x.select("label", "vec_id", F.round("xsum", 5).alias("xsum"), F.round("p", 6).alias("p"))
+
+
 def s_contributors(spark: SparkSession, d: str) -> DataFrame:
     """The 5 items that contribute most to each pair of condition and profile."""
     return top_contributors(conditions(spark, d), profiles(spark, d).select("vec_id", "item", "value"), "label", "vec_id", 5)
@@ -70,7 +76,7 @@ def s_label_pivot(spark: SparkSession, d: str) -> DataFrame:
     return p.select("label", *[F.round(F.col(str(i)), 6).alias(f"item_{i}") for i in range(ITEMS)])
 
 
-QUERIES = {q.__name__: q for q in (s_consensus, s_spearman, s_reversal, s_extreme_sum, s_contributors, s_weighted_median, s_label_pivot)}
+QUERIES = {q.__name__: q for q in (s_consensus, s_spearman, s_reversal, s_extreme_sum, s_extreme_p, s_contributors, s_weighted_median, s_label_pivot)}
 
 _L = """l AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS value, generate_subscripts(embedding, 1) - 1 AS item FROM embeddings),
     c AS (SELECT label, item, median(value) AS value, count(*) AS n FROM l GROUP BY label, item)"""
