@@ -65,3 +65,39 @@ PARSED = f"""
                 WHEN NOT isfinite(effect) OR (effect <= 0 AND NOT list_contains(canonical, 'BETA')) THEN 'beta' END AS reason FROM valued)"""
 
 P4_FOUND = f"WITH {PARSED} SELECT line_id, reason FROM reasons WHERE reason IS NOT NULL"
+
+
+def _text(canonical: str) -> str:
+    """A field's text, null where it is empty or stands for nothing."""
+    return f"CASE WHEN upper({_at(canonical)}) NOT IN ('', 'NA', 'NAN', '.') THEN {_at(canonical)} END"
+
+
+def _double(canonical: str) -> str:
+    return f"TRY_CAST({_text(canonical)} AS DOUBLE)"
+
+
+P4_ROWS = f"""WITH {PARSED} SELECT line_id, file_id, {_text("SNP")} AS "SNP", TRY_CAST(regexp_replace(lower(chrom), '^chr', '') AS INT) AS "CHR", TRY_CAST(trunc({_double("POS")}) AS BIGINT) AS "POS",
+    upper({_text("A1")}) AS "A1", upper({_text("A2")}) AS "A2", CASE WHEN list_contains(canonical, 'BETA') THEN {_double("BETA")} WHEN {_double("OR")} > 0 THEN ln({_double("OR")}) END AS "BETA",
+    {_double("SE")} AS "SE", {_double("P")} AS "P", TRY_CAST(round({_double("N")}) AS BIGINT) AS "N", {_double("MAF")} AS "MAF", {_double("INFO")} AS "INFO" FROM reasons WHERE reason IS NULL"""
+
+#: CTEs up to steps: each file's columns beside those of the file received before it in its stream.
+_STEPS = f"""{PARSED},
+    cols AS (SELECT p.file_id, i, name AS header, coalesce(a.canonical, name) AS field FROM places p LEFT JOIN (SELECT upper(alias) AS alias, min(canonical) AS canonical FROM column_aliases GROUP BY 1) a ON a.alias = name
+             WHERE name <> '' QUALIFY row_number() OVER (PARTITION BY file_id, coalesce(a.canonical, name) ORDER BY i) = 1),
+    vals AS (SELECT file_id, generate_subscripts(fields, 1) AS i, unnest(fields) AS v FROM parsed WHERE valid AND len(fields) = len(canonical)),
+    kinds AS (SELECT file_id, i, count(*) AS n, count(*) FILTER (regexp_full_match(v, '[+-]?[0-9]+')) AS ints, count(*) FILTER (regexp_full_match(v, '{_NUMBER}')) AS numbers FROM vals WHERE upper(v) NOT IN ('', 'NA') GROUP BY file_id, i),
+    types AS (SELECT file_id, i, CASE WHEN ints * 2 > n THEN 'int' WHEN (numbers - ints) * 2 > n THEN 'float' WHEN (n - numbers) * 2 > n THEN 'text' END AS type FROM kinds),
+    layout AS (SELECT c.file_id, field, header, type FROM cols c LEFT JOIN types t USING (file_id, i)),
+    turns AS (SELECT f.file_id, delimiter, header LIKE '#%' AS hashed, lag(f.file_id) OVER w AS prev, lag(delimiter) OVER w AS prev_delimiter, lag(header LIKE '#%') OVER w AS prev_hashed
+              FROM gwas_files f JOIN dialects USING (file_id) WINDOW w AS (PARTITION BY stream ORDER BY received_at NULLS FIRST, f.file_id)),
+    new_ AS (SELECT t.file_id, l.field, l.header, l.type FROM turns t JOIN layout l USING (file_id) WHERE prev IS NOT NULL),
+    old_ AS (SELECT t.file_id, l.field, l.header, l.type FROM turns t JOIN layout l ON l.file_id = t.prev),
+    steps AS (SELECT coalesce(n.file_id, o.file_id) AS file_id, coalesce(n.field, o.field) AS field, n.header AS new_header, o.header AS old_header, n.type AS new_type, o.type AS old_type
+              FROM new_ n FULL JOIN old_ o ON n.file_id = o.file_id AND n.field = o.field)"""
+
+P6_FOUND = f"""WITH {_STEPS}
+    SELECT file_id, field, CASE WHEN old_header IS NULL THEN 'added' ELSE 'removed' END AS change FROM steps WHERE old_header IS NULL OR new_header IS NULL
+    UNION ALL SELECT file_id, field, 'renamed' FROM steps WHERE old_header <> new_header
+    UNION ALL SELECT file_id, field, 'retyped' FROM steps WHERE old_type <> new_type
+    UNION ALL SELECT file_id, 'delimiter', 'changed' FROM turns WHERE delimiter <> prev_delimiter
+    UNION ALL SELECT file_id, 'header_starts_with_hash', 'changed' FROM turns WHERE hashed <> prev_hashed"""
