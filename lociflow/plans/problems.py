@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lociflow.operators.units import harmonise_units, milli
 from lociflow.plans.lines_sql import P4_FOUND, P4_ROWS, P6_FOUND
+from lociflow.plans.units_sql import P2_FOUND
 from lociflow.session import table
 from lociflow.sources.schema_drift import layout_versions, migration_steps, migrations, unify
 from lociflow.sources.summary_lines import load_or_reject
@@ -58,4 +59,4 @@ def p6_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (p2_found, p2_values, p4_found, p4_rows, p6_found, p6_versions, p6_steps, p6_table)}
-SQL = {"p4_found": P4_FOUND, "p4_rows": P4_ROWS, "p6_found": P6_FOUND}
+SQL = {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_rows": P4_ROWS, "p6_found": P6_FOUND}
