@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from lociflow.functions.identifiers import pubchem_cid
 from lociflow.operators.compounds import one_direction, parents_by_name, with_placeholder_id
+from lociflow.operators.merging import source_names
+from lociflow.operators.ranks import with_fdr
 from lociflow.operators.skew import salted_join
-from lociflow.plans.drugs import _CID, _R, _SCORES, gene_scores, records
+from lociflow.plans.drugs import _CID, _R, _SCORES, _TESTED, d_rank_sum, gene_scores, records
 from lociflow.session import shared_path, table
-from lociflow.sources.genomic_text import interaction_claims
+from lociflow.sources.genomic_text import interaction_claims, set_results
 
 #: Which way a term of action points.
 DIRECTIONS = {
@@ -130,9 +132,30 @@ def d_driving_genes(spark: SparkSession, d: str) -> DataFrame:
     return sets.select("drug", "n_scored", F.size("best").alias("n_driving"), F.array_join(F.transform("best", lambda x: x["gene"]), ",").alias("driving"))
 
 
+def d_source_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the sources of a drug and gene agree on its direction: how many have one, and the status of the pair."""
+    terms = F.concat_ws("|", "interaction_type", "action_type").alias("terms")
+    claims = records(spark, d).select("drug", "gene", F.explode(source_names(F.col("source"))).alias("by"), terms)
+    each = one_direction(claims, ["drug", "gene", "by"], "terms", DIRECTIONS)
+    way = F.when(F.col("direction") != "none", F.col("direction"))
+    pairs = each.groupBy("drug", "gene").agg(F.count("*").alias("n_sources"), F.count(way).alias("n_directed"), F.min(way).alias("lo"), F.max(way).alias("hi"))
+    status = F.when(F.col("n_sources") < 2, "unavailable").when(F.col("n_directed") < 2, "untestable").when(F.col("lo") == F.col("hi"), "concordant").otherwise("discordant")
+    return pairs.select("drug", "gene", "n_sources", "n_directed", status.alias("status"))
+
+
+def d_results_file(spark: SparkSession, d: str) -> DataFrame:
+    """Rank tests of the drugs written as a table of set tests, with names cut to 8 letters, and read again with false discovery rates."""
+    path = shared_path(spark, "texts")
+    tested = d_rank_sum(spark, d).select(F.concat_ws("  ", F.left("drug", F.lit(8)), "n_in", "z", F.lit("NA"), F.col("greater_p").cast("string"), "drug").alias("value"))
+    head = spark.range(1).select(F.lit("VARIABLE  NGENES  BETA  SE  P  FULL_NAME").alias("value"))
+    tested.unionByName(head).write.text(path)
+    results = with_fdr(set_results(spark, path), [], "p")
+    return results.select(F.col("set_id").alias("drug"), "n_genes", F.round("beta", 6).alias("z"), "p", F.round("q", 6).alias("q"))
+
+
 QUERIES = {
     q.__name__: q
-    for q in (d_parents, d_cid_filled, d_claims_file, d_signed_pairs, d_compound_summary, d_potent_calls, d_affinity_potency, d_filter_levels, d_driving_genes)
+    for q in (d_parents, d_cid_filled, d_claims_file, d_signed_pairs, d_compound_summary, d_potent_calls, d_affinity_potency, d_filter_levels, d_driving_genes, d_source_agreement, d_results_file)
 }
 
 _WORDS = "list_filter(regexp_split_to_array(lower(strip_accents({c})), '[^a-z0-9]+'), lambda w: w <> '')"
@@ -173,4 +196,12 @@ SQL = {
     "d_driving_genes": f"""WITH {_R}, {_SCORES}, m AS (SELECT DISTINCT drug, gene FROM r)
         SELECT drug, count(*) AS n_scored, count(*) FILTER (score >= {DRIVING}) AS n_driving, coalesce(string_agg(gene, ',' ORDER BY score DESC, gene) FILTER (score >= {DRIVING}), '') AS driving
         FROM m JOIN g USING (gene) GROUP BY drug""",
+    "d_source_agreement": f"""WITH {_R}, e AS (SELECT DISTINCT drug, gene, b AS by_, trim(unnest(string_split(terms, '|'))) AS term FROM
+            (SELECT drug, gene, trim(unnest(string_split(lower(source), ','))) AS b, lower(concat_ws('|', interaction_type, action_type)) AS terms FROM r)),
+        o AS (SELECT drug, gene, by_, CASE WHEN count(DISTINCT {_WAY}) = 1 THEN nullif(min({_WAY}), 'none') END AS way FROM e WHERE term <> '' AND by_ <> '' GROUP BY drug, gene, by_)
+        SELECT drug, gene, count(*) AS n_sources, count(way) AS n_directed,
+               CASE WHEN count(*) < 2 THEN 'unavailable' WHEN count(way) < 2 THEN 'untestable' WHEN count(DISTINCT way) = 1 THEN 'concordant' ELSE 'discordant' END AS status FROM o GROUP BY drug, gene""",
+    "d_results_file": f"""WITH {_TESTED}, rk AS (SELECT drug, greater_p AS p, count(*) OVER (ORDER BY greater_p RANGE UNBOUNDED PRECEDING) AS rank, count(*) OVER () AS total FROM tested),
+        qv AS (SELECT drug, min(least(p * total / rank, 1.0)) OVER (ORDER BY p DESC RANGE UNBOUNDED PRECEDING) AS q FROM rk)
+        SELECT drug, n_in AS n_genes, z, greater_p AS p, round(q, 6) AS q FROM tested JOIN qv USING (drug)""",
 }

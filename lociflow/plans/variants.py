@@ -172,6 +172,15 @@ def v_top_hits(spark: SparkSession, d: str) -> DataFrame:
     return valid.withColumn("place", F.row_number().over(order)).where("place <= 10")
 
 
+def v_hit_bins(spark: SparkSession, d: str) -> DataFrame:
+    """Studies of each source by how many genome-wide significant places they have: 1, 2, 3-5 or 6+, with the places' total."""
+    hits = table(spark, d, "gwas_variants").where((F.col("p") >= 0) & (F.col("p") < GENOME_WIDE) & F.col("chr").isNotNull() & F.col("pos").isNotNull())
+    counts = hits.select("study_id", "chr", "pos").distinct().groupBy("study_id").agg(F.count("*").alias("n"))
+    named = counts.join(table(spark, d, "gwas_studies").select("study_id", "source").dropDuplicates(["study_id"]), "study_id")
+    bins = F.when(F.col("n") <= 2, F.col("n").cast("string")).when(F.col("n") <= 5, "3-5").otherwise("6+")
+    return named.groupBy("source", bins.alias("bin")).agg(F.count("*").alias("n_studies"), F.sum("n").alias("n_places"))
+
+
 def v_places(spark: SparkSession, d: str) -> DataFrame:
     """Place of every distinct position on its chromosome, from 0, from one distributed sort."""
     spots = table(spark, d, "gwas_variants").where("chr is not null and pos is not null").select("chr", "pos").distinct()
@@ -227,7 +236,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         v_canonical, v_quality_control, v_filter_counts, v_case_control_n, v_palindromes, v_effect_from_z, v_fdr, v_fdr_all, v_cutoffs,
-        v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_loci_mhc, v_top_hits, v_places, v_study_best, v_panel_file, v_minor_frequency, v_best_per_region,
+        v_lambda_gc, v_quantiles, v_windows, v_linked_leads, v_loci, v_loci_mhc, v_top_hits, v_hit_bins, v_places, v_study_best, v_panel_file, v_minor_frequency, v_best_per_region,
     )
 }
 
@@ -298,6 +307,8 @@ SQL = {
         i AS (SELECT *, sum(new) OVER (PARTITION BY chr ORDER BY pos, row_id) AS island FROM h) SELECT row_id, min(row_id) OVER (PARTITION BY chr, island) AS component FROM i""",
     "v_best_per_region": f"WITH {_LEADS} SELECT study_id, chr, mb, row_id, p FROM leads",
     "v_top_hits": f"SELECT study_id, row_id, p, row_number() OVER (PARTITION BY study_id ORDER BY p, row_id) AS place FROM gwas_variants WHERE {_VALID} AND p > 0 QUALIFY place <= 10",
+    "v_hit_bins": """WITH n AS (SELECT study_id, count(*) AS n FROM (SELECT DISTINCT study_id, chr, pos FROM gwas_variants WHERE p >= 0 AND p < 5e-8 AND chr IS NOT NULL AND pos IS NOT NULL) GROUP BY study_id)
+        SELECT source, CASE WHEN n <= 2 THEN CAST(n AS VARCHAR) WHEN n <= 5 THEN '3-5' ELSE '6+' END AS bin, count(*) AS n_studies, CAST(sum(n) AS BIGINT) AS n_places FROM n JOIN gwas_studies USING (study_id) GROUP BY 1, 2""",
     "v_places": "SELECT chr, pos, row_number() OVER (PARTITION BY chr ORDER BY pos) - 1 AS place, count(*) OVER (PARTITION BY chr) AS n_positions FROM (SELECT DISTINCT chr, pos FROM gwas_variants WHERE chr IS NOT NULL AND pos IS NOT NULL)",
     "v_study_best": f"SELECT row_id, study_id, chr, p FROM gwas_variants WHERE {_VALID} AND p > 0 AND chr IS NOT NULL QUALIFY p = min(p) OVER (PARTITION BY study_id, chr)",
     "v_panel_file": f"""WITH {_PANEL} SELECT study_id, chr, count(*) AS n_in_panel FROM c WHERE EXISTS (SELECT 1 FROM panel WHERE panel.chr = c.chr AND panel.snp = c.snp) GROUP BY study_id, chr""",

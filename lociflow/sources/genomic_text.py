@@ -111,6 +111,21 @@ def interaction_claims(spark: SparkSession, path: str) -> DataFrame:
     return read.where("drug_name <> '' and gene_symbol <> ''")
 
 
+def set_results(spark: SparkSession, path: str) -> DataFrame:
+    """(set_id, n_genes, beta, se, p) of a white-space table of set tests VARIABLE NGENES BETA SE P and maybe FULL_NAME.
+
+    VARIABLE may be cut short, so FULL_NAME is taken where the file has it and the line isn't NA there.
+    Text that is no number is null; a set listed several times keeps its smallest p.
+    """
+    columns = {"VARIABLE": "string", "NGENES": "long", "BETA": "double", "SE": "double", "P": "double"}
+    named = text_lines(spark, path).where(F.array_contains(F.split(F.trim("value"), r"\s+"), "FULL_NAME")).limit(1).count()
+    rows = white_space_table(spark, path, columns | ({"FULL_NAME": "string"} if named else {}))
+    name = F.coalesce(F.nullif("FULL_NAME", F.lit("NA")), "VARIABLE") if named else F.col("VARIABLE")
+    tested = rows.select(name.alias("set_id"), F.col("NGENES").alias("n_genes"), F.col("BETA").alias("beta"), F.col("SE").alias("se"), F.col("P").alias("p"))
+    first = F.min(F.struct(F.col("p").isNull(), "p", "n_genes", "beta", "se")).alias("s")
+    return tested.groupBy("set_id").agg(first).select("set_id", "s.n_genes", "s.beta", "s.se", "s.p")
+
+
 def latest_ids(history: DataFrame, hops: int = 10) -> DataFrame:
     """(old, current, hops) by following (old, new) replacements at most ``hops`` times; cycles stop where they close.
 

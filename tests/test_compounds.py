@@ -4,7 +4,7 @@ import hashlib
 
 from lociflow.operators.compounds import one_direction, parents_by_name, with_placeholder_id
 from lociflow.operators.gene_ids import column_kind, filled_ids, full_records, pair_index, tiered_targets
-from lociflow.sources.genomic_text import gene_history, gene_info, interaction_claims, latest_ids
+from lociflow.sources.genomic_text import gene_history, gene_info, interaction_claims, latest_ids, set_results
 
 RECORD = "record_id long, symbol string, ensembl string, uniprot string, entrez string"
 
@@ -76,3 +76,12 @@ def test_gene_files(spark, tmp_path):
     claims = "claim_id\tdrug_name\tdrug_concept_id\tgene_name\tinteraction_type\tpmids\n1\t a \tchembl:CHEMBL5\tG\tinhibitor\t1, ,2\n2\t\"b\t\tG\t\t\n3\t \t\tG\t\t\n4\tc\tCHEMBL1|CHEMBL2\tH\t\t3\n"
     found = {(r.claim_id, r.drug_name, r.drug_chembl_id, tuple(r.pmids or ()), r.confidence) for r in interaction_claims(spark, w("c.tsv", claims)).collect()}
     assert found == {("1", "a", "CHEMBL5", ("1", "2"), "medium"), ("2", '"b', None, (), "low"), ("4", "c", None, ("3",), "medium")}
+
+
+def test_set_results(spark, tmp_path):
+    w = lambda name, text: str((tmp_path / name).write_text(text) and tmp_path / name)
+    long = "# MODEL\nVARIABLE TYPE NGENES BETA SE P FULL_NAME\nabc SET 5 0.1 0.2 0.03 abcdef\nabc SET 6 0.1 0.2 0.02 abcdef\nx SET 2 NA 0.1 0.5 NA\nbad SET 2\n"
+    columns = ("set_id", "n_genes", "beta", "se", "p")
+    assert rows_of(set_results(spark, w("l.out", long)), *columns) == {("abcdef", 6, 0.1, 0.2, 0.02), ("x", 2, None, 0.1, 0.5)}
+    short = "VARIABLE NGENES BETA SE P\ny 3 1 2 NA\ny 4 1 2 0.9\n"
+    assert rows_of(set_results(spark, w("s.out", short)), *columns) == {("y", 4, 1.0, 2.0, 0.9)}
