@@ -88,9 +88,10 @@ def rank_sum_test(scores: DataFrame, members: DataFrame, item: str, score: str,
     totals = ranks.agg(F.sum(F.pow("n", F.lit(3)) - F.col("n")).alias("ties"), F.coalesce(F.sum("n"), F.lit(0)).alias("N")).first()
     ranked = known.join(ranks.select(score, "rank"), score)
     sums = members.select(group, item).distinct().join(ranked, item).groupBy(group).agg(F.count("*").alias("n_in"), F.sum("rank").alias("r"), F.min(score).alias("lo"), F.max(score).alias("hi"))
-    total, tied = F.lit(totals["N"]), F.lit(totals["ties"] or 0.0)
+    # a literal of a small number is an int, whose products overflow from 46,342 items on
+    total, tied = F.lit(totals["N"]).cast("long"), F.lit(totals["ties"] or 0.0)
     n1, n2 = F.col("n_in"), total - F.col("n_in")
     u = F.col("r") - n1 * (n1 + 1) / 2
-    sd = F.sqrt(n1 * n2 / 12 * ((total + 1) - F.try_divide(tied, total * (total - 1))))
+    sd = F.sqrt(n1 * n2 / 12 * ((total + 1) - F.try_divide(tied, total.cast("double") * (total - 1))))
     flat = (F.col("lo") == F.col("hi")) | (n2 == 0)
     return sums.select(group, "n_in", n2.alias("n_out"), u.alias("u"), F.when(flat, 0.5).otherwise(F.try_divide(u, n1 * n2)).alias("auc"), F.when(flat, 0.0).otherwise(F.try_divide(u - n1 * n2 / 2 - 0.5, sd)).alias("z"))

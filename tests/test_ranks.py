@@ -63,3 +63,17 @@ def test_rank_sum_counts_pairs(spark):
         inside = set(members[g])
         u = sum((scores[a] > scores[b]) + 0.5 * (scores[a] == scores[b]) for a in inside for b in scores if b not in inside)
         assert found[g].u == pytest.approx(u) and found[g].auc == pytest.approx(u / (len(inside) * (40 - len(inside))))
+
+
+def test_rank_sum_of_more_items_than_an_int_can_square(spark):
+    n = 50_000
+    s = spark.range(n).selectExpr("id AS item", "CAST(id % 7 AS DOUBLE) AS score")
+    m = spark.range(0, n, 5).where("id % 7 < 5").selectExpr("'g' AS g", "id AS item")
+    found = rank_sum_test(s, m, "item", "score", "g").first()
+    counts, inside = [sum(i % 7 == v for i in range(n)) for v in range(7)], [i for i in range(0, n, 5) if i % 7 < 5]
+    ranks = [sum(counts[:v]) + (counts[v] + 1) / 2 for v in range(7)]
+    n1, n2 = len(inside), n - len(inside)
+    u = sum(ranks[i % 7] for i in inside) - n1 * (n1 + 1) / 2
+    sd = (n1 * n2 / 12 * (n + 1 - sum(c**3 - c for c in counts) / (n * (n - 1)))) ** 0.5
+    assert (found.n_in, found.n_out) == (n1, n2) and found.u == pytest.approx(u)
+    assert found.auc == pytest.approx(u / (n1 * n2)) and found.z == pytest.approx((u - n1 * n2 / 2 - 0.5) / sd)
