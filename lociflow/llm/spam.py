@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,8 @@ _LOOKALIKE = str.maketrans({"0": "o", "1": "i", "5": "s", "|": "i", "l": "i", "c
 BREAK, NUMBER, LOST = 0, 1, 2
 _LENGTH = 31
 MOST_CACHED = 300_000
+#: Words that are worked on at once, and pairs that are held to be added up: they bound a task's memory and change no result.
+MOST_WORDS, MOST_HELD = 1 << 17, 1 << 18
 
 
 class WordIds(dict):
@@ -126,13 +129,25 @@ def _reread(line: str) -> str:
 def word_ids(text: str, ids: dict[str, int]) -> tuple[list[int], int]:
     """(ids of the words and breaks in order, number of characters that can't be read)."""
     text = text.replace("﻿", "").replace("\r\n", "\n").replace("\r", "\n")
-    text = _MARKUP.sub("", _TIME.sub("\n", text))
-    if _MISREAD.search(text):
+    text = _MARKUP.sub("", _TIME.sub("\n", text) if ":" in text else text)
+    if not text.isascii() and _MISREAD.search(text):
         text = "\n".join(_reread(line) if _MISREAD.search(line) else line for line in text.split("\n"))
     lost = text.count("�")
     return [ids[w] for w in _TOKEN.findall(text.lower())], lost
 
 
+def _runs(batches: Iterator[pa.RecordBatch], sizes: Callable[[pa.RecordBatch], pa.Array], most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut between rows into runs of at most ``most`` in size; a larger row is a run of its own."""
+    for batch in batches:
+        ends = np.cumsum(sizes(batch).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def tokenised(documents: DataFrame, key: str, text: str) -> DataFrame:
     """(key, copy_of, words, lost) of every document; texts of the same words share ``copy_of``.
 
@@ -141,7 +156,7 @@ def tokenised(documents: DataFrame, key: str, text: str) -> DataFrame:
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
-        for batch in batches:
+        for batch in _runs(batches, lambda batch: pc.coalesce(pc.utf8_length(batch.column(1)), 0), 8 * MOST_WORDS):
             flat, offsets, prints, losses = [], [0], [], []
             for value in batch.column(1):
                 words, lost = word_ids(value.as_py() or "", ids)
@@ -190,11 +205,29 @@ def pair_id(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def pair_counts(texts: DataFrame) -> DataFrame:
     """(pair, a, b, n): in how many texts each pair of neighbours occurs, added up within the tasks first."""
 
+    def added(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        pair, a, b, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        starts = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]][: len(pair)])
+        first = order[starts]
+        return pair[starts], a[first], b[first], np.add.reduceat(n[order], starts) if len(starts) else n
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        as_batch = lambda sums: pa.RecordBatch.from_arrays([pa.array(x) for x in sums], ["pair", "a", "b", "n"])
+        held, size = [], 0
+        for batch in _runs(batches, lambda batch: batch.column(0).value_lengths(), MOST_WORDS):
             _, a, b, _, _ = _neighbours(batch.column(0))
-            pair, first, n = np.unique(pair_id(a, b), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pair, a[first], b[first], n)], ["pair", "a", "b", "n"])
+            held.append((pair_id(a, b), a, b, np.ones(len(a), np.int64)))
+            size += len(a)
+            if size > MOST_HELD:
+                held = [added(held)]
+                size = len(held[0][0])
+                if size > MOST_HELD // 2:
+                    yield as_batch(held[0])
+                    held, size = [], 0
+        if held:
+            yield as_batch(added(held))
 
     counted = texts.select("words").mapInArrow(count, "pair long, a long, b long, n long")
     return counted.groupBy("pair").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.sum("n").alias("n"))
@@ -253,7 +286,7 @@ def text_signs(texts: DataFrame, counts: DataFrame, model: SpamModel) -> DataFra
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in _runs(batches, lambda batch: batch.column(1).value_lengths(), MOST_WORDS):
             rows = batch.num_rows
             trust_of = batch.column(3).to_numpy(zero_copy_only=False)
             row, a, b, times, letters = _neighbours(batch.column(1))

@@ -1,12 +1,16 @@
 import base64
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 
 from lociflow.llm.mixing import MixPlan, mix_report, mixed_documents
 from lociflow.llm.queries import QUERIES
-from lociflow.llm.spam import SpamModel, WordIds, find_spam, spam_signs, word_ids
+from lociflow.llm.spam import MOST_WORDS, SpamModel, WordIds, find_spam, pair_counts, spam_signs, text_signs, tokenised, word_ids
 from lociflow.llm.tokens import PRETOKENS, TOKENIZERS, decode_ids, encode_documents, token_counts
 from tests.conftest import SMALL
 
@@ -105,3 +109,53 @@ def test_words_of_damaged_texts():
 def test_every_query_runs(spark):
     for name in ("p3_matches", "p8_mix", "p8_shares", "p9_scores", "p7_counts", "p1_quality"):
         assert QUERIES[name](spark, SMALL).count() > 0
+
+
+class _Caught(Exception):
+    """Carries the function that a plan gives to its tasks."""
+
+
+class _Texts:
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, function, _):
+        raise _Caught(function)
+
+
+def _task(plan):
+    with pytest.raises(_Caught) as caught:
+        plan()
+    return caught.value.args[0]
+
+
+def _peak_mb(task, batch, read) -> tuple[float, list]:
+    """MB that the task holds at most, and what ``read`` takes from each batch it gives."""
+    tracemalloc.start()
+    taken = [read(out) for out in task(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return most, taken
+
+
+def test_memory_of_spam_tasks_is_bounded(spark):
+    rng, texts = np.random.default_rng(3), 4000
+    flat = (rng.integers(1, 1 << 40, texts * 500) << 5) | 5
+    words = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 500, dtype=np.int32)), pa.array(flat))
+    most, taken = _peak_mb(_task(lambda: pair_counts(_Texts(spark))), pa.RecordBatch.from_arrays([words], ["words"]), lambda b: pc.sum(b.column("n")).as_py())
+    assert most < 96 and sum(taken) == texts * 499
+    counts = spark.createDataFrame([(1, 1, 1, 0, 1, 1, 1, 1)], "pair long, used long, trusted long, suspected long, left long, right long, any_left long, any_right long")
+    look_up = _task(lambda: text_signs(_Texts(spark), counts, SpamModel()))
+    ids, zeros, ones = pa.array(np.arange(texts)), pa.array(np.zeros(texts, np.int64)), pa.array(np.ones(texts, np.int64))
+    batch = pa.RecordBatch.from_arrays([ids, words, zeros, ones], ["copy_of", "words", "lost", "trusted"])
+    most, taken = _peak_mb(look_up, batch, lambda b: (b.column("copy_of").to_pylist(), pc.sum(b.column("n_pairs")).as_py(), len(b.column("rest").flatten())))
+    assert most < 96 and [i for ids, _, _ in taken for i in ids] == list(range(texts))
+    assert sum(n for _, n, _ in taken) == texts * 499 and max(n for _, _, n in taken) <= MOST_WORDS
+    spoken = [None, "", "say it again " * 150_000] + ["where did you leave my letter last night " * 40] * 2000
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(spoken))), pa.array(spoken)], ["doc_id", "text"])
+    _, taken = _peak_mb(_task(lambda: tokenised(_Texts(spark), "doc_id", "text")), batch, lambda b: b.column("words").value_lengths().to_pylist())
+    assert [n for lengths in taken for n in lengths] == [0, 0, 450_000] + [320] * 2000
+    assert sorted(map(sum, taken))[-2] <= 4 * MOST_WORDS
