@@ -64,12 +64,15 @@ class SpamModel:
 
 # Cleaning and tokens.
 
-_TIME = re.compile(r"\d+:\d\d(?::\d\d)?[.,]\d+\s*\S{1,3}\s*\d+:\d\d(?::\d\d)?(?:[.,]\d+)?[^\n]*")
+# a first digit by itself lets the search skip to digits
+_TIME = re.compile(r"\d\d*:\d\d(?::\d\d)?[.,]\d+\s*\S{1,3}\s*\d+:\d\d(?::\d\d)?(?:[.,]\d+)?[^\n]*")
 _MARKUP = re.compile(r"\{[^}]*\}|</?(?:i|b|u|font)\b[^>]*>")
 #: Words with inner apostrophes, ends of sentences and lines, and lost characters.
-_TOKEN = re.compile(r"[^\W_]+(?:['’|][^\W_]+)*|[.!?…♪]+(?=\s|$)|\n|�+")
+_TOKEN = re.compile(r"[^\W_]+(?:['’|][^\W_]+)*|\n|[.!?…♪]+(?=\s|$)|�+")
 #: What only texts read in a wrong encoding have: odd pairs, or three accented letters in a row.
 _MISREAD = re.compile("[ÃÂÐÑâ][\u0080-¿€-™]|[РСГВ][\u0080-¿Ђ-Џђ-џ‐-™]|[À-ÿ]{3}|в[™„Ђ€]|�")
+#: What any of these begins with, quicker to search for.
+_MAY_MISREAD = re.compile("[ÃÂÐÑâРСГВÀ-ÿв�]")
 #: Encodings that texts are wrongly read in: (read as, really).
 _ENCODINGS = (
     ("cp1252", "utf-8"), ("latin-1", "utf-8"), ("cp1251", "utf-8"), ("latin-1", "cp1251"), ("cp1252", "cp1251"),
@@ -130,7 +133,7 @@ def word_ids(text: str, ids: dict[str, int]) -> tuple[list[int], int]:
     """(ids of the words and breaks in order, number of characters that can't be read)."""
     text = text.replace("﻿", "").replace("\r\n", "\n").replace("\r", "\n")
     text = _MARKUP.sub("", _TIME.sub("\n", text) if ":" in text else text)
-    if not text.isascii() and _MISREAD.search(text):
+    if not text.isascii() and _MAY_MISREAD.search(text) and _MISREAD.search(text):
         text = "\n".join(_reread(line) if _MISREAD.search(line) else line for line in text.split("\n"))
     lost = text.count("�")
     return [ids[w] for w in _TOKEN.findall(text.lower())], lost
