@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociflow.operators.skew import salted_join
@@ -67,10 +67,11 @@ class SpamModel:
 # a first digit by itself lets the search skip to digits
 _TIME = re.compile(r"\d\d*:\d\d(?::\d\d)?[.,]\d+\s*\S{1,3}\s*\d+:\d\d(?::\d\d)?(?:[.,]\d+)?[^\n]*")
 _MARKUP = re.compile(r"\{[^}]*\}|</?(?:i|b|u|font)\b[^>]*>")
-#: Words with inner apostrophes, ends of sentences and lines, and lost characters.
-_TOKEN = re.compile(r"[^\W_]+(?:['’|][^\W_]+)*|\n|[.!?…♪]+(?=\s|$)|�+")
-#: What only texts read in a wrong encoding have: odd pairs, or three accented letters in a row.
-_MISREAD = re.compile("[ÃÂÐÑâ][\u0080-¿€-™]|[РСГВ][\u0080-¿Ђ-Џђ-џ‐-™]|[À-ÿ]{3}|в[™„Ђ€]|�")
+#: Words with inner apostrophes, ends of sentences and lines (with the white space after them), and lost characters;
+#: for texts without underscores, which are no letters.
+_TOKEN = re.compile(r"\w++(?:['’|]\w++)*+|\n\s*+|[.!?…♪]++(?:\s++|$)|�++")
+#: What only texts read in a wrong encoding have, besides lost characters: odd pairs, or three accented letters in a row.
+_MISREADINGS = tuple(map(re.compile, ("[ÃÂÐÑâ][\u0080-¿€-™]", "[РСГВ][\u0080-¿Ђ-Џђ-џ‐-™]", "[À-ÿ][À-ÿ][À-ÿ]", "в[™„Ђ€]")))
 #: What any of these begins with, quicker to search for.
 _MAY_MISREAD = re.compile("[ÃÂÐÑâРСГВÀ-ÿв�]")
 #: Encodings that texts are wrongly read in: (read as, really).
@@ -111,6 +112,10 @@ def _word_id(word: str) -> int:
     return (xxhash.xxh3_64_intdigest(bare) >> 1) & ~_LENGTH | min(max(len(bare), 1), _LENGTH)
 
 
+def _misread(text: str) -> bool:
+    return "�" in text or any(pattern.search(text) for pattern in _MISREADINGS)
+
+
 def _reread(line: str) -> str:
     """The line in the encoding it was written in, or only its length as lost characters if that can't be told."""
     tries = [line]
@@ -122,7 +127,7 @@ def _reread(line: str) -> str:
                     other = text.encode(wrong).decode(right)
                 except UnicodeError:
                     continue
-                if not _MISREAD.search(other):
+                if not _misread(other):
                     return other
                 further.append(other)
         tries = further
@@ -133,10 +138,10 @@ def word_ids(text: str, ids: dict[str, int]) -> tuple[list[int], int]:
     """(ids of the words and breaks in order, number of characters that can't be read)."""
     text = text.replace("﻿", "").replace("\r\n", "\n").replace("\r", "\n")
     text = _MARKUP.sub("", _TIME.sub("\n", text) if ":" in text else text)
-    if not text.isascii() and _MAY_MISREAD.search(text) and _MISREAD.search(text):
-        text = "\n".join(_reread(line) if _MISREAD.search(line) else line for line in text.split("\n"))
+    if not text.isascii() and _MAY_MISREAD.search(text) and _misread(text):
+        text = "\n".join(_reread(line) if _misread(line) else line for line in text.split("\n"))
     lost = text.count("�")
-    return [ids[w] for w in _TOKEN.findall(text.lower())], lost
+    return list(map(ids.__getitem__, _TOKEN.findall(text.lower().replace("_", "-")))), lost
 
 
 def _runs(batches: Iterator[pa.RecordBatch], sizes: Callable[[pa.RecordBatch], pa.Array], most: int) -> Iterator[pa.RecordBatch]:
@@ -151,25 +156,39 @@ def _runs(batches: Iterator[pa.RecordBatch], sizes: Callable[[pa.RecordBatch], p
             start = stop
 
 
+def _paired(texts: list[np.ndarray]) -> pa.ListArray:
+    """The words of each text that have a neighbour, and one break in place of whatever is between them."""
+    flat, lengths = np.concatenate(texts), [len(words) for words in texts]
+    row = np.repeat(np.arange(len(texts)), lengths)
+    word = (flat != BREAK) & (flat != LOST)
+    same = row[1:] == row[:-1]
+    pair = word[1:] & word[:-1] & same
+    paired = np.zeros(len(flat), bool)
+    paired[:-1] |= pair
+    paired[1:] |= pair
+    kept = paired.copy()
+    kept[1:] |= paired[:-1] & same
+    ends = np.r_[0, np.cumsum(np.bincount(row[kept], minlength=len(texts)))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.where(paired, flat, BREAK)[kept]))
+
+
 def tokenised(documents: DataFrame, key: str, text: str) -> DataFrame:
     """(key, copy_of, words, lost) of every document; texts of the same words share ``copy_of``.
 
-    Null and blank texts have no words.
+    ``words`` are those with a neighbour, any others between them being one break. Null and blank texts have no words.
     """
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for batch in _runs(batches, lambda batch: pc.coalesce(pc.utf8_length(batch.column(1)), 0), 8 * MOST_WORDS):
-            flat, offsets, prints, losses = [], [0], [], []
-            for value in batch.column(1):
-                words, lost = word_ids(value.as_py() or "", ids)
-                print_ = xxhash.xxh3_64_intdigest(np.array([w for w in words if w], np.int64).tobytes(), seed=lost)
-                flat.extend(words)
-                offsets.append(len(flat))
-                prints.append(print_ >> 1)
+            texts, prints, losses = [], [], []
+            for value in batch.column(1).to_pylist():
+                found, lost = word_ids(value or "", ids)
+                words = np.array(found, np.int64)
+                texts.append(words)
+                prints.append(xxhash.xxh3_64_intdigest(words[words != BREAK].tobytes(), seed=lost) >> 1)
                 losses.append(lost)
-            words = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-            columns = [batch.column(0).cast(pa.int64()), pa.array(prints, pa.int64()), words, pa.array(losses, pa.int64())]
+            columns = [batch.column(0).cast(pa.int64()), pa.array(prints, pa.int64()), _paired(texts), pa.array(losses, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [key, "copy_of", "words", "lost"])
 
     return documents.select(key, text).mapInArrow(tokenise, f"{key} long, copy_of long, words array<long>, lost long")
@@ -179,23 +198,24 @@ def tokenised(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _neighbours(words: pa.ListArray) -> tuple[np.ndarray, ...]:
-    """(row, first word, second word, times, letters) of every distinct pair of each row.
+    """(row, first word, second word, times, letters, key of row and first word, of row and second) of every distinct pair of each row.
 
-    Two numbers, or a word and itself (la la la), tell nothing.
+    In the order of the first of these keys. Two numbers, or a word and itself (la la la), tell nothing.
     """
     lengths = words.value_lengths().to_numpy(zero_copy_only=False)
-    flat = words.flatten().to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    flat, code = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(lengths)), lengths)
-    a, b = flat[:-1], flat[1:]
-    at = np.flatnonzero((row[1:] == row[:-1]) & (a != b) & (a != BREAK) & (b != BREAK) & (a != LOST) & (b != LOST))
-    row, a, b = row[at], a[at], b[at]
-    order = np.lexsort((pair_id(a, b), row))
-    row, a, b = row[order], a[order], b[order]
-    new = np.r_[True, (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(row)]
-    starts = np.flatnonzero(new)
-    times = np.diff(np.r_[starts, len(row)])
-    row, a, b = row[starts], a[starts], b[starts]
-    return row, a, b, times, times * ((a & _LENGTH) + (b & _LENGTH))
+    word = ((flat != BREAK) & (flat != LOST))[code]
+    at = np.flatnonzero((row[1:] == row[:-1]) & (code[1:] != code[:-1]) & word[1:] & word[:-1])
+    bits = len(flat).bit_length()
+    # in 63 bits, as a run is of few words or of one row
+    key = np.sort((row[at] << bits | code[at]) << bits | code[at + 1])
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    times = np.diff(np.r_[starts, len(key)])
+    left, b = key[starts] >> bits, key[starts] & ((1 << bits) - 1)
+    row, first, second = left >> bits, flat[left & ((1 << bits) - 1)], flat[b]
+    return row, first, second, times, times * ((first & _LENGTH) + (second & _LENGTH)), left, row << bits | b
 
 
 def pair_id(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,7 +240,7 @@ def pair_counts(texts: DataFrame) -> DataFrame:
         as_batch = lambda sums: pa.RecordBatch.from_arrays([pa.array(x) for x in sums], ["pair", "a", "b", "n"])
         held, size = [], 0
         for batch in _runs(batches, lambda batch: batch.column(0).value_lengths(), MOST_WORDS):
-            _, a, b, _, _ = _neighbours(batch.column(0))
+            _, a, b, *_ = _neighbours(batch.column(0))
             held.append((pair_id(a, b), a, b, np.ones(len(a), np.int64)))
             size += len(a)
             if size > MOST_HELD:
@@ -247,7 +267,8 @@ def with_margins(counts: DataFrame) -> DataFrame:
     either = F.sum(F.col("trusted") + F.col("suspected"))
     left = counted.groupBy("a").agg(F.sum("used").alias("left"), either.alias("any_left"))
     right = counted.groupBy("b").agg(F.sum("used").alias("right"), either.alias("any_right"))
-    wide = salted_join(salted_join(counted, left, "a", F.col("b"), salts=4), right, "b", F.col("a"), salts=4)
+    # one row a word meets its distinct pairs, of which there are no more than words, so no key is too hot for a task
+    wide = counted.join(left.hint("shuffle_hash"), "a").join(right.hint("shuffle_hash"), "b")
     return wide.select("pair", "used", *COUNTS)
 
 
@@ -273,6 +294,20 @@ def _signs(model: SpamModel, total, pair, trust, times, size, letters, own_left,
     return weight, weight * (pmi < model.least_pmi), letters * repeated, weight * pmi
 
 
+def _most_frequent(n: Column, times: np.ndarray, pairs: np.ndarray, most: int) -> Column:
+    """Whether a pair that ``n`` texts have is among the (about) ``most`` most frequent, ``pairs`` of which are in so many ``times``.
+
+    Of the pairs at the limit, those with the lowest hashes. No other pair is in more than one in ``most`` of all places.
+    """
+    order = np.argsort(-times)
+    before = np.cumsum(pairs[order]) - pairs[order]
+    last = int(np.searchsorted(before + pairs[order], most, "right"))
+    if last == len(order):
+        return F.lit(True)
+    limit, share = int(times[order[last]]), float((most - before[last]) / pairs[order[last]])
+    return (n > limit) | ((n == limit) & (F.col("pair") < int(share * (1 << 63))))
+
+
 def text_signs(texts: DataFrame, counts: DataFrame, model: SpamModel) -> DataFrame:
     """(copy_of, lost, n_pairs, letters, incoherent, repeated, pmi) of every distinct text.
 
@@ -280,8 +315,11 @@ def text_signs(texts: DataFrame, counts: DataFrame, model: SpamModel) -> DataFra
     letters; a text without pairs has zeros.
     """
     spark = texts.sparkSession
-    total = float(counts.agg(F.coalesce(F.sum("used"), F.lit(0))).first()[0] or 1)
-    top = counts.orderBy(F.desc(F.col("trusted") + F.col("suspected")), "pair").limit(model.frequent).drop("used").toArrow()
+    n = F.col("trusted") + F.col("suspected")
+    sizes = counts.groupBy(n.alias("n")).agg(F.count("*").alias("pairs"), F.sum("used").alias("used")).toArrow()
+    total = float(pc.sum(sizes.column("used")).as_py() or 1)
+    frequent = _most_frequent(n, *(sizes.column(c).to_numpy() for c in ("n", "pairs")), model.frequent)
+    top = counts.where(frequent).drop("used").toArrow()
     table = {c: np.asarray(top.column(c).to_numpy(), np.int64) for c in ("pair", *COUNTS)}
     order = np.argsort(table["pair"])
     shared = spark.sparkContext.broadcast({c: v[order] for c, v in table.items()})
@@ -292,9 +330,10 @@ def text_signs(texts: DataFrame, counts: DataFrame, model: SpamModel) -> DataFra
         for batch in _runs(batches, lambda batch: batch.column(1).value_lengths(), MOST_WORDS):
             rows = batch.num_rows
             trust_of = batch.column(3).to_numpy(zero_copy_only=False)
-            row, a, b, times, letters = _neighbours(batch.column(1))
+            row, a, b, times, letters, left, right = _neighbours(batch.column(1))
             size = np.bincount(row, weights=times, minlength=rows)
-            own_left, own_right = _times_in_row(row, a), _times_in_row(row, b)
+            order, own_right = np.argsort(right), np.empty(len(right), np.int64)
+            own_left, own_right[order] = _repeats(left), _repeats(right[order])
             pair = pair_id(a, b)
             at = np.minimum(np.searchsorted(known["pair"], pair), max(len(known["pair"]) - 1, 0))
             hit = known["pair"][at] == pair if len(known["pair"]) else np.zeros(len(pair), bool)
@@ -319,24 +358,18 @@ def text_signs(texts: DataFrame, counts: DataFrame, model: SpamModel) -> DataFra
     looked = written(texts.select("copy_of", "words", "lost", "trusted").mapInArrow(look_up, schema))
     rare = looked.select("copy_of", F.col("trusted").alias("trust"), "n_pairs", F.explode("rest").alias("r"))
     # the frequent pairs are out of it, so no pair here is in more than one in ``frequent`` of all places
-    met = rare.select("copy_of", "trust", "n_pairs", "r.*").join(counts.drop("used"), "pair")
+    met = rare.select("copy_of", "trust", "n_pairs", "r.*").join(counts.where(~frequent).drop("used").hint("shuffle_hash"), "pair")
     judged = met.drop("pair").mapInArrow(judge, f"copy_of long, {sums}")
     parts = looked.drop("rest", "trusted").unionByName(judged, allowMissingColumns=True)
     added = [F.sum(s).alias(s) for s in SUMS]
     return parts.groupBy("copy_of").agg(F.max("lost").alias("lost"), F.max("n_pairs").alias("n_pairs"), *added)
 
 
-def _times_in_row(row: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """How many distinct pairs of its row have the word in this place."""
-    if not len(row):
-        return np.zeros(0, np.int64)
-    order = np.lexsort((word, row))
-    r, w = row[order], word[order]
-    starts = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (w[1:] != w[:-1])])
-    runs = np.diff(np.r_[starts, len(r)])
-    out = np.empty(len(r), np.int64)
-    out[order] = np.repeat(runs, runs)
-    return out
+def _repeats(keys: np.ndarray) -> np.ndarray:
+    """How often each of the sorted keys occurs."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    runs = np.diff(np.r_[starts, len(keys)])
+    return np.repeat(runs, runs)
 
 
 def shares(signs: DataFrame) -> DataFrame:
@@ -369,7 +402,7 @@ def spam_signs(documents: DataFrame, model: SpamModel = SpamModel(), key: str =
     judged = texts.drop("trusted").join(suspects, "copy_of", "left")
     judged = judged.withColumn("trusted", F.when(F.col("suspected"), 0).otherwise(1).cast("long"))
     apart = pair_counts(judged.where("suspected")).select("pair", F.col("n").alias("suspected"))
-    both = every.join(apart, "pair", "left").withColumn("suspected", F.coalesce("suspected", F.lit(0)))
+    both = every.join(apart.hint("shuffle_hash"), "pair", "left").withColumn("suspected", F.coalesce("suspected", F.lit(0)))
     split = written(with_margins(both.withColumn("trusted", F.col("n") - F.col("suspected"))))
     second = shares(text_signs(judged, split, model)).join(suspects, "copy_of", "left")
     strung = (F.col("repeated") > model.most_repeated) & (F.col("pmi") < low)

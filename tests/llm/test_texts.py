@@ -1,16 +1,18 @@
 import base64
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from lociflow.llm.mixing import MixPlan, mix_report, mixed_documents
 from lociflow.llm.queries import QUERIES
-from lociflow.llm.spam import MOST_WORDS, SpamModel, WordIds, find_spam, pair_counts, spam_signs, text_signs, tokenised, word_ids
+from lociflow.llm.spam import MOST_WORDS, SpamModel, WordIds, _most_frequent, _neighbours, _repeats, find_spam, pair_counts, spam_signs, text_signs, tokenised, word_ids
 from lociflow.llm.tokens import PRETOKENS, TOKENIZERS, decode_ids, encode_documents, token_counts
 from tests.conftest import SMALL
 
@@ -159,3 +161,42 @@ def test_memory_of_spam_tasks_is_bounded(spark):
     _, taken = _peak_mb(_task(lambda: tokenised(_Texts(spark), "doc_id", "text")), batch, lambda b: b.column("words").value_lengths().to_pylist())
     assert [n for lengths in taken for n in lengths] == [0, 0, 450_000] + [320] * 2000
     assert sorted(map(sum, taken))[-2] <= 4 * MOST_WORDS
+
+
+def test_only_words_with_a_neighbour_are_kept(spark):
+    text = "\n\n".join(f"{i}\n00:00:{i:02d},000 --> 00:00:{i:02d},900\nwhere is my_letter? ... \n No." for i in range(10, 30))
+    rows = {r.doc_id: r for r in tokenised(spark.createDataFrame([(1, text), (2, "Yes.\n\n \n12\n"), (3, None), (4, "�\ngo on")], "doc_id long, text string"), "doc_id", "text").collect()}
+    ids = WordIds()
+    # all 20 cues; "no" and the numbers of the cues have no neighbour, an underscore parts no sentence
+    assert rows[1].words == [*[ids[w] for w in ("where", "is", "my", "letter")], 0] * 20
+    assert rows[2].words == rows[3].words == [] and rows[4].words == [ids["go"], ids["on"]]
+    assert len({r.copy_of for r in rows.values()}) == 4
+
+
+def test_pairs_of_a_run_by_brute_force():
+    rng = random.Random(5)
+    words = [[rng.choice([0, 1, 2, *(w << 5 | w % 9 + 1 for w in range(1, 12))]) for _ in range(rng.choice([0, 1, 2, 40, 300]))] for _ in range(60)]
+    row, a, b, times, letters, left, right = _neighbours(pa.array(words, pa.list_(pa.int64())))
+    want = Counter((i, x, y) for i, ws in enumerate(words) for x, y in zip(ws, ws[1:]) if x != y and {x, y}.isdisjoint({0, 2}))
+    keys = list(zip(row.tolist(), a.tolist(), b.tolist()))
+    assert len(set(keys)) == len(keys) and dict(zip(keys, times.tolist())) == want
+    assert letters.tolist() == [want[i, x, y] * (x % 32 + y % 32) for i, x, y in keys]
+    firsts, seconds = Counter((i, x) for i, x, _ in want), Counter((i, y) for i, _, y in want)
+    assert _repeats(left).tolist() == [firsts[i, x] for i, x, _ in keys]
+    order = np.argsort(right)
+    assert _repeats(right[order]).tolist() == [seconds[keys[k][0], keys[k][2]] for k in order]
+    assert all(len(x) == 0 for x in _neighbours(pa.array([[], [0, 1]], pa.list_(pa.int64()))))
+
+
+def test_most_frequent_pairs_without_a_sort(spark):
+    rng = np.random.default_rng(8)
+    n = np.minimum(rng.zipf(1.6, 20_000), 500)
+    pairs = rng.integers(0, 1 << 63, len(n))
+    table = spark.createDataFrame(list(zip(pairs.tolist(), n.tolist())), "pair long, n long")
+    times, sizes = np.unique(n, return_counts=True)
+    for most in (0, 7, 3000, 20_000, 1 << 18):
+        held = {r.pair for r in table.where(_most_frequent(F.col("n"), times, sizes, most)).collect()}
+        assert abs(len(held) - min(most, len(n))) < 100
+        rest = [k for p, k in zip(pairs.tolist(), n.tolist()) if p not in held]
+        assert max(rest, default=0) <= min([k for p, k in zip(pairs.tolist(), n.tolist()) if p in held], default=500)
+        assert max(rest, default=0) * most <= n.sum()
